@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def strip_tags(text: Column) -> Column:
     """Remove tags; a tag that runs over a line break stays."""
-    return F.regexp_replace(text, "<.*?>", "")
+    return F.regexp_replace(text, r"<[^\n]*?>", "")
 
 
 def wrap_div(text: Column) -> Column:

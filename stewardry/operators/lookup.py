@@ -32,6 +32,22 @@ def first_match(
     )
 
 
+def left_lookup(rows: DataFrame, side: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Left join text keys to a side that has one row per key.
+
+    Rows with a null key match nothing, yet a plain join sends all of them to
+    one partition. They get a key made of their row number instead, which
+    spreads them; the null test keeps that key from ever matching.
+    """
+    pairs = list(on.items())
+    conditions = [F.col(mine) == F.col(key) for mine, key in pairs]
+    if ROW in rows.columns:
+        mine, key = pairs[0]
+        own = F.concat(F.lit("\u0000"), F.col(ROW).cast("string"))
+        conditions[0] = (F.coalesce(F.col(mine), own) == F.col(key)) & F.col(mine).isNotNull()
+    return rows.join(side, all_of(conditions), "left")
+
+
 def resolve(
     rows: DataFrame,
     dimension: DataFrame,
@@ -51,8 +67,7 @@ def resolve(
     first = first_match(
         dimension, [F.col(c).alias(k) for c, k in zip(on.values(), keys)], take, order
     )
-    condition = all_of([F.col(mine) == F.col(key) for mine, key in zip(on, keys)])
-    return rows.join(first, condition, "left").drop(*keys)
+    return left_lookup(rows, first, dict(zip(on, keys))).drop(*keys)
 
 
 def resolve_cells(cells: DataFrame, cell: str, users: DataFrame) -> DataFrame:
@@ -82,31 +97,37 @@ def users_order(users: DataFrame) -> str:
     return ROW if ROW in users.columns else "id"
 
 
-def resolve_owners(rows: DataFrame, users: DataFrame, roles: dict[str, str], unknown: str | None = None) -> DataFrame:
+def resolve_owners(
+    rows: DataFrame,
+    users: DataFrame,
+    roles: dict[str, str],
+    unknown: str | None = None,
+    cells: DataFrame | None = None,
+) -> DataFrame:
     """Add a list of owner ids for each comma-list column of ``roles``.
 
     ``roles`` maps list columns to new columns. With ``unknown``, the addresses
     of the first role that no user has are added under that name. The lists of
-    all roles are looked up together.
+    all roles are looked up together; ``cells`` names where to read them when
+    that is cheaper than ``rows``, such as the file the rows come from.
     """
-    lists = reduce(
-        DataFrame.unionByName,
-        [rows.select(F.col(column).alias("_cell")) for column in roles],
-    )
+    source = rows if cells is None else cells
+    each = F.explode(F.array(*roles)) if len(roles) > 1 else F.col(next(iter(roles)))
+    lists = source.select(each.alias("_cell"))
     known = resolve_cells(lists, "_cell", users)
     none = F.array().cast("array<string>")
     out = rows
     for place, (column, name) in enumerate(roles.items()):
         mine = known.select(
             F.col("_cell").alias("_owner_cell"),
-            F.col("ids").alias("_ids"),
-            F.col("unknown").alias("_unknown"),
+            F.col("ids").alias("_found_ids"),
+            F.col("unknown").alias("_not_found"),
         )
-        out = out.join(mine, F.col(column) == F.col("_owner_cell"), "left")
-        out = out.withColumn(name, F.coalesce("_ids", none))
+        out = left_lookup(out, mine, {column: "_owner_cell"})
+        out = out.withColumn(name, F.coalesce("_found_ids", none))
         if unknown and place == 0:
-            out = out.withColumn(unknown, F.coalesce("_unknown", none))
-        out = out.drop("_owner_cell", "_ids", "_unknown")
+            out = out.withColumn(unknown, F.coalesce("_not_found", none))
+        out = out.drop("_owner_cell", "_found_ids", "_not_found")
     return out
 
 

@@ -22,22 +22,24 @@ def domain_id(rows: DataFrame, domains: DataFrame, column: str, name: str) -> Da
     return resolve(rows, domains, {column: "name"}, {"id": name})
 
 
-def with_parent(file: DataFrame, catalog: DataFrame, strict: bool = False) -> DataFrame:
+def with_parent(
+    file: DataFrame, catalog: DataFrame, strict: bool = False, batch: DataFrame | None = None
+) -> DataFrame:
     """Add each row's parent id unless the file brings one.
 
-    A parent is looked for in the catalog, then among the domains this file
-    creates. ``strict`` leaves the second out, as when parents must have been
-    there before the load.
+    A parent is looked for in the catalog, then among the domains the file (or
+    ``batch``) creates. ``strict`` leaves the second out, as when parents must
+    have been there before the load.
     """
     if PARENT_ID in file.columns:
         return file
     found = resolve(file, catalog, {PARENT: "name"}, {"id": PARENT_ID})
     if strict:
         return found
-    batch = file.select(NAME, ROW).where(F.col(NAME).isNotNull())
-    batch = batch.withColumn("_new_id", stable_id("domain", F.col(NAME)))
-    both = resolve(found, batch, {PARENT: NAME}, {"_new_id": "_batch_id"})
-    return both.withColumn(PARENT_ID, F.coalesce(PARENT_ID, "_batch_id")).drop("_batch_id")
+    named = (file if batch is None else batch).select(NAME, ROW)
+    both = resolve(found, named, {PARENT: NAME}, {ROW: "_parent_row"})
+    new_id = F.when(F.col("_parent_row").isNotNull(), stable_id("domain", F.col(PARENT)))
+    return both.withColumn(PARENT_ID, F.coalesce(PARENT_ID, new_id)).drop("_parent_row")
 
 
 def parent_rows(file: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -57,10 +59,10 @@ def plan_domains(file: DataFrame, catalog: DataFrame, strict: bool = False) -> D
     A name already in the catalog, or on an earlier row of the file, is
     existing. ``record`` is the new domain's JSON; existing rows have none.
     """
-    rows = with_parent(file, catalog, strict)
-    rows = resolve(rows, catalog, {NAME: "name"}, {"id": "existing_id"})
+    rows = resolve(file, catalog, {NAME: "name"}, {"id": "existing_id"})
     is_new = F.col("existing_id").isNull()
     rows = mark_repeats(rows, [NAME], "_repeat", is_new)
+    rows = with_parent(rows, catalog, strict, batch=file)
     creates = is_new & ~F.col("_repeat")
     record = full_json_text(
         F.struct(

@@ -11,6 +11,7 @@ from stewardry.operators.hierarchy import CYCLE, grow
 from stewardry.operators.lookup import ROW, resolve, resolve_owners
 from stewardry.plans.domains import domain_id
 from stewardry.plans.outcomes import BAD_DOMAIN, CREATED, EXISTING, FAILED
+from stewardry.session import stage
 
 NAME, DOMAIN, PARENT = "glossary_term_name", "business_domain_name", "glossary_term_parent_term"
 DOMAIN_ID = "glossary_term_business_domain_uuid"
@@ -95,8 +96,8 @@ def parent_ids(rows: DataFrame, terms: DataFrame, statuses: DataFrame | None = N
     A parent is looked for in the catalog, then among the rows themselves. A
     row that hangs on a cycle takes a parent from the rows only if that one
     stands before it, so that no cycle is written; it loads as a root otherwise.
-    ``statuses`` is the hierarchy's ``_row, status``; without it no row counts
-    as hanging on a cycle.
+    ``statuses`` has the hierarchy's ``_row, status, depth``; without it no row
+    counts as hanging on a cycle.
     """
     found = term_id(rows, terms, PARENT, DOMAIN_ID, "_catalog_parent")
     batch = rows.where(F.col(DOMAIN_ID).isNotNull()).select(NAME, DOMAIN_ID, F.col(ROW).alias("_at"))
@@ -105,7 +106,7 @@ def parent_ids(rows: DataFrame, terms: DataFrame, statuses: DataFrame | None = N
     )
     usable = F.col("_parent_row").isNotNull()
     if statuses is not None:
-        known = statuses.select(F.col(ROW).alias("_of"), F.col("status").alias("_status"))
+        known = statuses.select(F.col(ROW).alias("_of"), F.col("status").alias("_status"), "depth")
         found = found.join(known, F.col(ROW) == F.col("_of"), "left").drop("_of")
         usable = usable & ((F.col("_status") != CYCLE) | (F.col("_parent_row") < F.col(ROW)))
     in_batch = F.when(usable, stable_id("term", F.col(DOMAIN_ID), F.col(PARENT)))
@@ -124,14 +125,13 @@ def plan_terms(file: DataFrame, domains: DataFrame, terms: DataFrame, users: Dat
     may be applied in any order; a store that wants parents first applies them
     by ``depth``, with unreached terms (null) last.
     """
-    rows = domain_id(dedupe(file), domains, DOMAIN, DOMAIN_ID)
-    rows = term_id(rows, terms, NAME, DOMAIN_ID, "existing_id")
-    forest = grow(rows, NAME, PARENT, DOMAIN).nodes
-    facts = forest.select(ROW, "status", "depth")
-    rows = parent_ids(rows, terms, facts)
-    depths = facts.select(F.col(ROW).alias("_of"), "depth")
-    rows = rows.join(depths, F.col(ROW) == F.col("_of"), "left").drop("_of")
-    rows = resolve_owners(rows, users, {column: f"_{role}" for column, role in ROLES.items()})
+    # Read by the hierarchy, the parents and the owners.
+    rows = stage(domain_id(dedupe(file), domains, DOMAIN, DOMAIN_ID))
+    facts = grow(rows, NAME, PARENT, DOMAIN).nodes
+    planned = parent_ids(rows, terms, facts)
+    planned = term_id(planned, terms, NAME, DOMAIN_ID, "existing_id")
+    roles = {column: f"_{role}" for column, role in ROLES.items()}
+    planned = resolve_owners(planned, users, roles, cells=rows)
     contacts = F.struct(*[id_structs(F.col(f"_{role}")).alias(role) for role in ROLES.values()])
     record = json_text(
         F.struct(
@@ -150,7 +150,7 @@ def plan_terms(file: DataFrame, domains: DataFrame, terms: DataFrame, users: Dat
         .otherwise(CREATED)
     )
     return (
-        rows.withColumn("outcome", outcome)
+        planned.withColumn("outcome", outcome)
         .withColumn("error", F.when(F.col("outcome") == FAILED, BAD_DOMAIN))
         .select(
             ROW,

@@ -447,23 +447,30 @@ def _records(spark, sf, wanted=None):
     )
 
 
+def _documents_of(spark, sf, all_documents, *kinds):
+    """Documents of some asset types, picked ahead of parsing."""
+    wanted = load(spark, sf, "entities").where(F.col("asset_type").isin(*kinds))
+    key = "schema_guid" if RESOURCE_SET in kinds else "guid"
+    return lookup.already_in(all_documents, wanted, {"guid": key})
+
+
 @query
 def asset_schema(spark, sf):
-    parsed = documents.parse_assets(inputs.entity_documents(spark, sf))
-    columns = F.col("entity.relationshipAttributes.columns")
+    wanted = _documents_of(spark, sf, inputs.entity_documents(spark, sf), SQL_TABLE, LAKEHOUSE_TABLE)
+    parsed = documents.parse_assets(wanted)
+    columns, referred = F.col("entity.relationshipAttributes.columns"), F.col("referred")
     kind = F.col("entity.typeName")
-    listed = F.when(kind == SQL_TABLE, documents.listed_columns(columns, F.col("referred"), "data_type")).when(
-        kind == LAKEHOUSE_TABLE, documents.listed_columns(columns, F.col("referred"), "dataType")
+    listed = F.when(kind == SQL_TABLE, documents.listed_columns(columns, referred, "data_type")).otherwise(
+        documents.listed_columns(columns, referred, "dataType")
     )
-    rows = parsed.select("guid", kind.alias("kind"), records.full_json_text(listed).alias("schema"))
-    return rows.where(F.col("schema").isNotNull())
+    return parsed.select("guid", kind.alias("kind"), records.full_json_text(listed).alias("schema"))
 
 
 @query
 def asset_schema_files(spark, sf):
-    parsed = documents.parse_assets(inputs.schema_documents(spark, sf))
+    wanted = _documents_of(spark, sf, inputs.schema_documents(spark, sf), RESOURCE_SET)
     listed = documents.referred_columns(F.col("referred"), "type")
-    return parsed.select("guid", records.full_json_text(listed).alias("schema")).where("schema IS NOT NULL")
+    return documents.parse_assets(wanted).select("guid", records.full_json_text(listed).alias("schema"))
 
 
 @query

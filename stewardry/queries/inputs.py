@@ -8,7 +8,7 @@ written twice. Documents are built here with Spark from the same rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from stewardry.schemas import (
     RESOURCE_SET,
     SQL_TABLE,
 )
+from stewardry.session import spread
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,8 @@ def fqn(key: str) -> str:
 
 
 NO_TEXT = "cast(null as string)"
+# Row keys of tables whose one file is worth more than one task.
+KEYS = {"orders": "o_orderkey"}
 K, O, P, S = "c_custkey", "o_orderkey", "p_partkey", "s_suppkey"
 CUSTOMER_NAME = numbered("Customer", "o_custkey")
 ORDER_DOMAIN = f"('Brand#' || {text('o_custkey % 26')})"
@@ -426,15 +429,23 @@ COLUMN_FACTS = {
 }
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; the schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = table(spark, sf_dir, name)
+    return spread(rows, KEYS[name]) if name in KEYS else rows
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A flat input as a DataFrame."""
     parts = []
     for branch in INPUTS[name]:
-        rows = table(spark, sf_dir, branch.table).where(branch.where)
+        rows = _spread_table(spark, sf_dir, branch.table).where(branch.where)
         rows = rows.selectExpr(*[f"{e} AS `{c}`" for c, e in branch.columns.items()])
         parts.append(rows.distinct() if branch.distinct else rows)
     return reduce(DataFrame.unionByName, parts)

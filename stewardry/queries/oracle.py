@@ -665,15 +665,16 @@ oracle("okr_target_date", "SELECT _row, targetDate, target_date FROM g_okrs", "g
 
 oracle(
     "asset_schema",
-    f"""SELECT e.guid, e.asset_type AS kind, coalesce(s.schema, '[]') AS schema FROM x_entities e
-    JOIN with_lines w ON w.asset_key = e.asset_key LEFT JOIN schemas s ON s.guid = e.guid
+    f"""SELECT e.guid, e.asset_type AS kind,
+    CASE WHEN w.asset_key IS NOT NULL THEN coalesce(s.schema, '[]') END AS schema FROM x_entities e
+    LEFT JOIN with_lines w ON w.asset_key = e.asset_key LEFT JOIN schemas s ON s.guid = e.guid
     WHERE e.asset_type IN ('{SQL_TABLE}', '{LAKEHOUSE_TABLE}')""",
     "x_entities", "with_lines", "schemas",
 )
 oracle(
     "asset_schema_files",
-    """SELECT e.schema_guid AS guid, coalesce(s.schema, '[]') AS schema FROM x_entities e
-    JOIN with_lines w ON w.asset_key = e.asset_key LEFT JOIN schemas s ON s.guid = e.guid
+    """SELECT e.schema_guid AS guid, CASE WHEN w.asset_key IS NOT NULL THEN coalesce(s.schema, '[]') END AS schema
+    FROM x_entities e LEFT JOIN with_lines w ON w.asset_key = e.asset_key LEFT JOIN schemas s ON s.guid = e.guid
     WHERE e.schema_guid IS NOT NULL""",
     "x_entities", "with_lines", "schemas",
 )

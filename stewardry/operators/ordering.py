@@ -57,10 +57,21 @@ def positions(rows: DataFrame, order: list[Column], name: str, group: list[str]
 
 
 def page(rows: DataFrame, group: list[str], order: list[Column], skip: int, top: int) -> DataFrame:
-    """Rows ``skip + 1`` to ``skip + top`` of each group, with their place."""
-    window = Window.partitionBy(*group).orderBy(*order)
-    ranked = rows.withColumn("position", F.row_number().over(window))
-    return ranked.where((F.col("position") <= skip + top) & (F.col("position") > skip))
+    """Rows ``skip + 1`` to ``skip + top`` of each group, with their ``position``.
+
+    For an early page a rank filter is enough: Spark then keeps only the first
+    rows of a group in each map task (window group limit), up to a limit that
+    is a session setting. A page beyond it is cut from distributed positions.
+    """
+    limit = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    last = skip + top
+    if last < limit:
+        window = Window.partitionBy(*group).orderBy(*order)
+        ranked = rows.withColumn("position", F.row_number().over(window).cast("long"))
+        first = ranked.where(F.col("position") <= last)
+    else:
+        first = positions(rows, order, "position", group).where(F.col("position") <= last)
+    return first.where(F.col("position") > skip)
 
 
 def reorder_by_list(rows: DataFrame, key: str, wanted: DataFrame, order: str = ROW) -> DataFrame:

@@ -115,7 +115,7 @@ def catalog_cdes(spark, sf):
 @query
 def okr_page(spark, sf):
     page = okrs.okr_page(load(spark, sf, "okrs"))
-    return page.select("domain", F.col("position").cast("long"), "id", "definition", "status")
+    return page.select("domain", "position", "id", "definition", "status")
 
 
 @query

@@ -35,6 +35,7 @@ def local_session(app: str = "stewardry", cpus: int | str = "*") -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     return tune(builder.getOrCreate())
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stewardry.operators.lookup import ROW
 from stewardry.schemas import COLUMN_SPELLINGS, CONCEPT_FILES
+from stewardry.session import spread, stage
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -20,13 +21,16 @@ class MissingColumns(ValueError):
 def read_concepts(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """Scan the concept file or folder of files of one kind.
 
-    Only the header is read up front. Every column is text, as a name made of
-    digits is still a name. ``_row`` numbers the rows in file order. Files of a
-    folder must have the same header; quoted line breaks keep one file in one
-    task, so large loads come as many files.
+    Every column is text, as a name made of digits is still a name, and an
+    empty cell is null; the files of a folder must have the same header. ``_row`` numbers the rows in the order
+    of their file. Which task reads which file may change from one scan to the
+    next, so the numbered rows are staged: a plan that reads them twice must
+    see the same numbers. Quoted line breaks keep one file in one task, so
+    large loads come as many files.
     """
     raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
-    return as_concepts(raw, kind).withColumn(ROW, F.monotonically_increasing_id())
+    rows = as_concepts(raw, kind).withColumn(ROW, F.monotonically_increasing_id())
+    return stage(spread(rows, ROW))
 
 
 def as_concepts(raw: DataFrame, kind: str) -> DataFrame:
@@ -57,4 +61,10 @@ def _spelling(name: str, present: list[str]) -> str | None:
 
 def write_concepts(rows: DataFrame, path: str) -> None:
     """Write rows as concept files of the form ``read_concepts`` takes."""
-    rows.write.options(header="true", quote='"', escape='"', quoteAll="true", emptyValue="").csv(path)
+    rows.write.options(
+        header="true",
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stewardry.functions.text import without_spaces
 from stewardry.operators.lookup import ROW, resolve_cells
 from stewardry.operators.policies import add_members
-from stewardry.schemas import DOMAIN_POLICY, QUALITY_POLICY
+from stewardry.schemas import DOMAIN_POLICY, POLICY_DOCUMENT, QUALITY_POLICY
+from stewardry.sources.documents import parse_policies
 
 # Numbers of the rules that hold members and stewards.
 MEMBER_RULE, STEWARD_RULE = 0, 2
@@ -55,12 +57,17 @@ def domain_members(loaded: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def merge_members(
-    loaded: DataFrame, policies: DataFrame, documents: DataFrame, users: DataFrame
+    loaded: DataFrame,
+    policies: DataFrame,
+    documents: DataFrame,
+    users: DataFrame,
+    schema: T.StructType = POLICY_DOCUMENT,
 ) -> DataFrame:
     """Policies that change, as ``id, policy``.
 
     ``loaded`` holds catalog domains joined with their file rows, ``documents``
-    the parsed policies. Owners join the member rule of both policies of their
+    the policies as ``id, document``; only those of loaded domains are parsed,
+    with a ``schema`` that names all keys a rewrite must keep. Owners join the member rule of both policies of their
     domain, and the steward rule of the quality policy.
     """
     targets = policy_targets(loaded.select("id").distinct(), policies)
@@ -69,7 +76,7 @@ def merge_members(
     rows = rows.select(
         "policy_id", "members", (F.col("prefix") == QUALITY_POLICY).alias("_is_quality")
     )
-    found = documents.join(rows, F.col("id") == F.col("policy_id"))
+    found = parse_policies(documents.join(rows, F.col("id") == F.col("policy_id")), schema)
     none = F.array().cast("array<string>")
     stewards = F.when(F.col("_is_quality"), F.col("members")).otherwise(none)
     rules = add_members(

@@ -440,10 +440,10 @@ def okr_target_date(spark, sf):
 def _records(spark, sf, wanted=None):
     return assets.build_records(
         load(spark, sf, "all_assets") if wanted is None else wanted,
-        documents.parse_assets(inputs.entity_documents(spark, sf)),
-        documents.parse_assets(inputs.schema_documents(spark, sf)),
-        documents.parse_lineage(inputs.lineage_documents(spark, sf)),
-        documents.parse_assets(inputs.metastore_documents(spark, sf)),
+        inputs.entity_documents(spark, sf),
+        inputs.schema_documents(spark, sf),
+        inputs.lineage_documents(spark, sf),
+        inputs.metastore_documents(spark, sf),
     )
 
 
@@ -476,9 +476,9 @@ def asset_schema_files(spark, sf):
 @query
 def asset_metastore(spark, sf):
     rows = load(spark, sf, "entities").where(F.col("asset_type") == LAKEHOUSE_TABLE).select("guid")
-    lineage = documents.parse_lineage(inputs.lineage_documents(spark, sf))
-    stores = documents.parse_assets(inputs.metastore_documents(spark, sf))
-    found = assets.with_metastore(rows, lineage, stores)
+    found = assets.with_metastore(
+        rows, inputs.lineage_documents(spark, sf), inputs.metastore_documents(spark, sf)
+    )
     return found.select("guid", "metastore_guid", "workspace_url")
 
 
@@ -542,10 +542,10 @@ def _plan_paths(spark, sf, paths):
         paths,
         load(spark, sf, "hits"),
         load(spark, sf, "assets"),
-        documents.parse_assets(inputs.entity_documents(spark, sf)),
-        documents.parse_assets(inputs.schema_documents(spark, sf)),
-        documents.parse_lineage(inputs.lineage_documents(spark, sf)),
-        documents.parse_assets(inputs.metastore_documents(spark, sf)),
+        inputs.entity_documents(spark, sf),
+        inputs.schema_documents(spark, sf),
+        inputs.lineage_documents(spark, sf),
+        inputs.metastore_documents(spark, sf),
     )
 
 
@@ -603,10 +603,13 @@ def edges_asset(spark, sf):
 
 @query
 def policy_merge(spark, sf):
-    parsed = documents.parse_policies(inputs.policy_documents(spark, sf))
     merged = policies.merge_members(
-        _loaded(spark, sf), load(spark, sf, "policies"), parsed, load(spark, sf, "users")
+        _loaded(spark, sf),
+        load(spark, sf, "policies"),
+        inputs.policy_documents(spark, sf),
+        load(spark, sf, "users"),
     )
+
     def members(rule):
         one = F.get("policy.properties.attributeRules", F.lit(rule))["dnfCondition"]
         return F.array_join(F.get(F.get(one, F.lit(0)), F.lit(0))["attributeValueIncludedIn"], ",")

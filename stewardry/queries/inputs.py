@@ -429,18 +429,23 @@ COLUMN_FACTS = {
 }
 
 
-@lru_cache(maxsize=64)
+# Plans of inputs are kept per session: several queries start from the same one.
+_kept = lru_cache(maxsize=256)
+
+
+@_kept
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=64)
+@_kept
 def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = table(spark, sf_dir, name)
     return spread(rows, KEYS[name]) if name in KEYS else rows
 
 
+@_kept
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A flat input as a DataFrame."""
     parts = []
@@ -461,6 +466,7 @@ def as_sql(name: str) -> str:
     return " UNION ALL ".join(selects)
 
 
+@_kept
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Asset columns: ``asset_key, line`` and the column facts."""
     rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber")
@@ -515,12 +521,14 @@ def _columns_by_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_kept
 def _with_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities = load(spark, sf_dir, "entities")
     columns = _columns_by_asset(spark, sf_dir)
     return entities.join(columns, F.col("asset_key") == F.col("_asset_key"), "left")
 
 
+@_kept
 def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``guid, document`` with columns and referred entities."""
     rows = _with_columns(spark, sf_dir)
@@ -546,12 +554,14 @@ def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("guid", F.to_json(document).alias("document"))
 
 
+@_kept
 def schema_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_columns(spark, sf_dir).where("schema_guid IS NOT NULL")
     document = F.struct(F.col("_referred").alias("referredEntities"))
     return rows.select(F.col("schema_guid").alias("guid"), F.to_json(document).alias("document"))
 
 
+@_kept
 def lineage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def entry(guid: Column, kind: str) -> Column:
         return F.struct(guid.alias("guid"), F.lit(kind).alias("typeName"))
@@ -569,6 +579,7 @@ def lineage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("guid", F.to_json(document).alias("document"))
 
 
+@_kept
 def metastore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspaces = F.filter(
         F.array(F.struct(F.col("workspace").alias("displayText"))), lambda w: w["displayText"].isNotNull()
@@ -578,6 +589,7 @@ def metastore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "metastores").select("guid", F.to_json(document).alias("document"))
 
 
+@_kept
 def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Details of catalog assets, with the columns their order has."""
     rows = load(spark, sf_dir, "assets").withColumn("_key", F.col("_row"))
@@ -600,6 +612,7 @@ def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.to_json(F.struct("id", "name", schema.alias("schema"))).alias("document"))
 
 
+@_kept
 def policy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, document``: one member twice in every other policy, a steward rule
     in quality policies."""

@@ -10,7 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from stewardry.session import local_session
 
-    session = local_session("stewardry-tests", cpus=4)
+    session = local_session("stewardry-tests", cpus=8)
     session.sparkContext.setLogLevel("ERROR")
+    # Small frames spend their time in compiling, not in running.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()

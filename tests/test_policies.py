@@ -1,8 +1,9 @@
 import json
 
+from pyspark.sql import functions as F
+
 from stewardry.plans.policies import merge_members
 from stewardry.schemas import DOMAIN_POLICY, QUALITY_POLICY
-from stewardry.sources.documents import parse_policies
 
 
 def policy(pid, name, *lists):
@@ -29,13 +30,13 @@ def test_members_join_in_order_and_all_else_stays(spark):
         policy("p4", "something else", []),
     ]
     policies = spark.createDataFrame([(p, n) for p, n, _ in documents], "id string, name string")
-    parsed = parse_policies(spark.createDataFrame([(p, d) for p, _, d in documents], "id string, document string"))
+    texts = spark.createDataFrame([(p, d) for p, _, d in documents], "id string, document string")
     users = spark.createDataFrame([("a@x", "A"), ("b@x", "B"), ("c@x", "C")], "mail string, id string")
     loaded = spark.createDataFrame(
         [(0, "d1", "c@x, b@x"), (1, "d1", "a@x,c@x"), (2, "d2", "a@x"), (3, "d3", None), (4, "d4", "a@x"), (5, "d1", "c@x, b@x")],
         "_row long, id string, business_domain_email_owners string",
     )
-    out = {r.id: r.policy.asDict(recursive=True) for r in merge_members(loaded, policies, parsed, users).collect()}
+    out = {r.id: r.policy.asDict(recursive=True) for r in merge_members(loaded, policies, texts, users).collect()}
 
     def members(pid, rule):
         return out[pid]["properties"]["attributeRules"][rule]["dnfCondition"][0][0]["attributeValueIncludedIn"]
@@ -54,9 +55,9 @@ def test_members_join_in_order_and_all_else_stays(spark):
 def test_a_second_load_changes_nothing(spark):
     pid, name, document = policy("p1", DOMAIN_POLICY + "d1", [])
     policies = spark.createDataFrame([(pid, name)], "id string, name string")
-    parsed = parse_policies(spark.createDataFrame([(pid, document)], "id string, document string"))
+    texts = spark.createDataFrame([(pid, document)], "id string, document string")
     users = spark.createDataFrame([("a@x", "A")], "mail string, id string")
     loaded = spark.createDataFrame([(0, "d1", "a@x")], "_row long, id string, business_domain_email_owners string")
-    first = merge_members(loaded, policies, parsed, users)
+    first = merge_members(loaded, policies, texts, users).select("id", F.to_json("policy").alias("document"))
     assert first.count() == 1
     assert merge_members(loaded, policies, first, users).count() == 0

@@ -35,16 +35,18 @@ def first_match(
 def left_lookup(rows: DataFrame, side: DataFrame, on: dict[str, str]) -> DataFrame:
     """Left join text keys to a side that has one row per key.
 
-    Rows with a null key match nothing, yet a plain join sends all of them to
-    one partition. They get a key made of their row number instead, which
-    spreads them; the null test keeps that key from ever matching.
+    Rows with a null key match nothing, yet a plain join sends all that agree
+    on their other keys to one partition. They get a first key made of their
+    row number instead, which spreads them; the null tests keep that key from
+    ever matching.
     """
-    pairs = list(on.items())
-    conditions = [F.col(mine) == F.col(key) for mine, key in pairs]
+    conditions = [F.col(mine) == F.col(key) for mine, key in on.items()]
     if ROW in rows.columns:
-        mine, key = pairs[0]
+        complete = all_of([F.col(mine).isNotNull() for mine in on])
+        mine, key = next(iter(on.items()))
         own = F.concat(F.lit("\u0000"), F.col(ROW).cast("string"))
-        conditions[0] = (F.coalesce(F.col(mine), own) == F.col(key)) & F.col(mine).isNotNull()
+        conditions[0] = F.when(complete, F.col(mine)).otherwise(own) == F.col(key)
+        conditions.append(complete)
     return rows.join(side, all_of(conditions), "left")
 
 

@@ -93,5 +93,5 @@ def searchable(hits: DataFrame, excluded: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame, *order: Column) -> DataFrame:
-    """Add ``_row`` for list order: a number made of page and place."""
+    """Add ``_row`` for list order, such as page and place on it."""
     return rows.withColumn(ROW, F.struct(*order))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stewardry.functions.records import full_json_text, stable_id
 from stewardry.operators.dedupe import mark_repeats
 from stewardry.operators.lookup import ROW, resolve
-from stewardry.plans.outcomes import CREATED, EXISTING
+from stewardry.plans.outcomes import CREATED, EXISTING, FAILED, NO_KEY
 
 NAME, PARENT, PARENT_ID = (
     "business_domain_name",
@@ -57,10 +57,12 @@ def plan_domains(file: DataFrame, catalog: DataFrame, strict: bool = False) -> D
     """Every file row with ``id, outcome, error, record``.
 
     A name already in the catalog, or on an earlier row of the file, is
-    existing. ``record`` is the new domain's JSON; existing rows have none.
+    existing; a row without a name fails. ``record`` is the new domain's JSON;
+    other rows have none.
     """
     rows = resolve(file, catalog, {NAME: "name"}, {"id": "existing_id"})
-    is_new = F.col("existing_id").isNull()
+    named = F.col(NAME).isNotNull()
+    is_new = named & F.col("existing_id").isNull()
     rows = mark_repeats(rows, [NAME], "_repeat", is_new)
     rows = with_parent(rows, catalog, strict, batch=file)
     creates = is_new & ~F.col("_repeat")
@@ -80,7 +82,7 @@ def plan_domains(file: DataFrame, catalog: DataFrame, strict: bool = False) -> D
         F.col(NAME).alias("name"),
         F.col("business_domain_type").alias("type"),
         F.col(PARENT_ID).alias("parent_id"),
-        F.when(creates, CREATED).otherwise(EXISTING).alias("outcome"),
-        F.lit(None).cast("string").alias("error"),
+        F.when(~named, FAILED).when(creates, CREATED).otherwise(EXISTING).alias("outcome"),
+        F.when(~named, NO_KEY).alias("error"),
         F.when(creates, record).alias("record"),
     )

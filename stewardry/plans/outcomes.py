@@ -13,6 +13,7 @@ SUCCEEDED, SKIPPED, NO_VALUE, IGNORED = "succeeded", "skipped", "no_value", "ign
 BAD_DOMAIN = "Invalid domain UUID"
 BAD_USER = "Invalid user ID"
 BAD_DATE = "Invalid target date"
+NO_KEY = "Missing name"
 
 # Both texts in an error mean that an edge had no target.
 NO_TARGET_TEXTS = ("Error converting value", "entityId")

@@ -10,7 +10,7 @@ from stewardry.operators.dedupe import keep_first
 from stewardry.operators.hierarchy import CYCLE, grow
 from stewardry.operators.lookup import ROW, resolve, resolve_owners
 from stewardry.plans.domains import domain_id
-from stewardry.plans.outcomes import BAD_DOMAIN, CREATED, EXISTING, FAILED
+from stewardry.plans.outcomes import BAD_DOMAIN, CREATED, EXISTING, FAILED, NO_KEY
 from stewardry.session import stage
 
 NAME, DOMAIN, PARENT = "glossary_term_name", "business_domain_name", "glossary_term_parent_term"
@@ -144,14 +144,15 @@ def plan_terms(file: DataFrame, domains: DataFrame, terms: DataFrame, users: Dat
             F.col("parent_id").alias("parentId"),
         )
     )
+    gate = F.when(F.col(DOMAIN_ID).isNull(), BAD_DOMAIN).when(F.col(NAME).isNull(), NO_KEY)
     outcome = (
-        F.when(F.col(DOMAIN_ID).isNull(), FAILED)
+        F.when(F.col("error").isNotNull(), FAILED)
         .when(F.col("existing_id").isNotNull(), EXISTING)
         .otherwise(CREATED)
     )
     return (
-        planned.withColumn("outcome", outcome)
-        .withColumn("error", F.when(F.col("outcome") == FAILED, BAD_DOMAIN))
+        planned.withColumn("error", gate)
+        .withColumn("outcome", outcome)
         .select(
             ROW,
             F.coalesce("existing_id", stable_id("term", F.col(DOMAIN_ID), F.col(NAME))).alias("id"),

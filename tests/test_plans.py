@@ -34,13 +34,14 @@ def domain_file(spark):
         (2, "FR", "EU"),
         (3, "FR", "EU"),
         (4, "XX", "Nope"),
+        (5, None, "Sales"),
     ]
     return frame(spark, columns, [(r, n, p, "a@x", "Draft", "T", 'say "x"') for r, n, p in rows])
 
 
 def test_domain_plan(spark, catalog):
     plan = {r._row: r for r in domains.plan_domains(domain_file(spark), catalog).collect()}
-    assert [plan[i].outcome for i in range(5)] == ["existing", "created", "created", "existing", "created"]
+    assert [plan[i].outcome for i in range(6)] == ["existing", "created", "created", "existing", "created", "failed"]
     assert plan[0].id == "d1" and plan[1].parent_id == "d1"
     assert plan[2].parent_id == plan[1].id and plan[2].id == plan[3].id
     assert json.loads(plan[4].record) == {
@@ -50,7 +51,7 @@ def test_domain_plan(spark, catalog):
 
 def test_strict_parents_come_from_the_catalog_only(spark, catalog):
     plan = {r._row: r.parent_id for r in domains.plan_domains(domain_file(spark), catalog, strict=True).collect()}
-    assert plan == {0: None, 1: "d1", 2: None, 3: None, 4: None}
+    assert plan == {0: None, 1: "d1", 2: None, 3: None, 4: None, 5: "d1"}
     given = domain_file(spark).withColumn("business_domain_parent_guid", F.lit("g"))
     assert {r.parent_id for r in domains.plan_domains(given, catalog).collect()} == {"g"}
 
@@ -62,7 +63,7 @@ def test_applying_a_plan_makes_the_next_load_create_nothing(spark, catalog):
     assert bigger.count() == 6
     assert apply.next_snapshot(bigger, new, ["name"]).count() == 6
     again = domains.plan_domains(file, bigger.withColumn("_row", F.monotonically_increasing_id()))
-    assert {r.outcome for r in again.collect()} == {"existing"}
+    assert {r.outcome for r in again.collect()} == {"existing", "failed"}
 
 
 def test_versions_are_never_overwritten(spark, catalog, tmp_path):
@@ -158,11 +159,12 @@ def test_first_loader_lookups(spark):
 
 def test_product_plan(spark, catalog, users):
     columns = "_row dp_name business_domain_name dp_status dp_type dp_description dp_businessUse dp_owners dp_updateFrequency"
-    rows = [(0, "P", "Nope"), (1, "P", "Sales"), (2, "P", "Ops"), (3, "Old", "Ops"), (4, "Q", None)]
+    rows = [(0, "P", "Nope"), (1, "P", "Sales"), (2, "P", "Ops"), (3, "Old", "Ops"), (4, "Q", None), (5, None, "Ops")]
     file = frame(spark, columns, [(i, n, d, "s", "t", "d", None, "a@x,who@x", "Daily") for i, n, d in rows])
     held = frame(spark, "_row id name type", [(0, "old", "Old", "t")])
     plan = {r._row: r for r in products.plan_products(file, catalog, held, users).collect()}
-    assert [plan[i].outcome for i in range(5)] == ["failed", "created", "existing", "existing", "failed"]
+    assert [plan[i].outcome for i in range(6)] == ["failed", "created", "existing", "existing", "failed", "failed"]
+    assert [plan[i].error for i in (4, 5)] == ["Invalid domain UUID", "Missing name"]
     assert json.loads(plan[1].record) == {
         "name": "P", "domain": "d1", "status": "s", "type": "t", "description": "d", "businessUse": None,
         "contacts": {"owner": [{"id": "A"}]}, "updateFrequency": "Daily",
@@ -177,13 +179,14 @@ def test_objective_plan(spark, catalog, users):
         (3, "o2", "Nope", "01-31-2024", "who@x", "s"),
         (4, "o3", "Ops", "31-01-2024", "who@x", "s"),
         (5, "old", "Ops", "01-31-2024", "who@x", "s"),
+        (6, None, "Ops", "01-31-2024", None, "s"),
     ]
     file = frame(spark, "_row definition domain targetDate owner status", rows)
     held = frame(spark, "_row id definition status domain", [(0, "okr", "old", "s", "d2")])
     planned = okrs.plan_okrs(file, catalog, held, users)
     plan = {r._row: r for r in planned.collect()}
     assert [plan[i].outcome for i in range(6)] == ["created", "existing", "created", "failed", "failed", "existing"]
-    assert [plan[i].error for i in (3, 4)] == ["Invalid domain UUID", "Invalid target date"]
+    assert [plan[i].error for i in (3, 4, 6)] == ["Invalid domain UUID", "Invalid target date", "Missing name"]
     assert json.loads(plan[0].record) == {
         "definition": "o1", "domain": "d1", "targetDate": "2024-01-31T00:00:00.000000Z",
         "contacts": {"owner": [{"id": "A"}]}, "status": "s",
@@ -191,9 +194,9 @@ def test_objective_plan(spark, catalog, users):
     failures = outcomes.owner_failures(planned, "okr", "definition", "unknown_owners")
     assert sorted((r.key, r.mail) for r in failures.collect()) == [("o1", "who@x"), ("old", "who@x")]
     counts = {(r.concept, r.outcome): r.rows for r in outcomes.report(outcomes.outcomes(planned, "okr", "definition"), failures).collect()}
-    assert counts == {("okr", "created"): 2, ("okr", "existing"): 2, ("okr", "failed"): 4}
+    assert counts == {("okr", "created"): 2, ("okr", "existing"): 2, ("okr", "failed"): 5}
     names = outcomes.names(outcomes.outcomes(planned, "okr", "definition"), "okr", "failed")
-    assert sorted(r.key for r in names.collect()) == ["o2", "o3"]
+    assert {r.key for r in names.collect()} == {"o2", "o3", None}
 
 
 def test_objectives_beyond_the_first_page_still_exist(spark, catalog, users):

@@ -77,3 +77,13 @@ SELECT doc_id, size, source_size, target,
   cast(epochs * size + greatest(least(goal - epochs * source_size - before, size), 0) AS BIGINT) AS taken
 FROM parts
 """
+
+ORACLES["op1_warc_chunks"] = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT page_id, strlen(body) AS size, sha256(body) AS digest FROM rows),
+firsts AS (SELECT digest, min(page_id) AS first FROM digests WHERE size >= 100 GROUP BY digest)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM digests LEFT JOIN firsts USING (digest)
+"""

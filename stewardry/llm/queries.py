@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import mixing, quality_rules, token_counts
+from stewardry.llm import mixing, quality_rules, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,14 @@ def op6_token_counts(spark, sf):
 @query
 def op9_source_mix(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_token_files(spark, sf):
+    return token_files.write_and_read(spark, table(spark, sf, "documents"), tokenizer_file(), end_id=2)
+
+
+@query
+def op1_warc_chunks(spark, sf):
+    records = warc.write_and_read(spark, table(spark, sf, "pages"))
+    return records.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import mixing, quality_rules, token_counts, token_files, warc
+from stewardry.llm import mixing, quality_rules, substring_dedup, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op7_token_files(spark, sf):
 def op1_warc_chunks(spark, sf):
     records = warc.write_and_read(spark, table(spark, sf, "pages"))
     return records.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
+
+
+@query
+def op5_substring_dedup(spark, sf):
+    return substring_dedup.remove_repeats(table(spark, sf, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import mixing, quality_rules, substring_dedup, token_counts, token_files, warc
+from stewardry.llm import jaccard_join, mixing, quality_rules, substring_dedup, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def op1_warc_chunks(spark, sf):
 @query
 def op5_substring_dedup(spark, sf):
     return substring_dedup.remove_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op3_jaccard_join(spark, sf):
+    joined = jaccard_join.join_similar(table(spark, sf, "documents"))
+    return joined.select(F.col("doc").alias("doc_id"), "class_id", "n_copies", "n_links")

@@ -83,24 +83,34 @@ _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[[0x20, 9, 10, 11, 12, 13]] = True
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# For plain words: every ASCII character but letters and digits stands between words.
+_IS_PLAIN_BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, breaks: np.ndarray = _IS_BREAK) -> tuple[np.ndarray, np.ndarray]:
     """First and last-plus-one byte of each word of UTF-8 bytes."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_IS_BREAK[data]
+    inside[1:-1] = ~breaks[data]
     edges = np.diff(inside)
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_hashes(data: np.ndarray) -> np.ndarray:
+def plain_word_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text in lower case, without ASCII punctuation."""
+    lower = data.tobytes().decode("utf-8", "replace").lower().encode()
+    return word_hashes(np.frombuffer(lower, np.uint8), _IS_PLAIN_BREAK)
+
+
+def word_hashes(data: np.ndarray, breaks: np.ndarray = _IS_BREAK) -> np.ndarray:
     """A 64-bit hash of each word of UTF-8 bytes, block by block."""
     out, at = [], 0
     while at < len(data):
         end = min(at + _BLOCK, len(data))
         if end < len(data):
-            gaps = np.flatnonzero(_IS_BREAK[data[at:end]])
-            end = at + int(gaps[-1]) + 1 if len(gaps) else _next_break(data, end)
+            gaps = np.flatnonzero(breaks[data[at:end]])
+            end = at + int(gaps[-1]) + 1 if len(gaps) else _next_break(data, end, breaks)
         block = data[at:end]
-        starts, ends = word_spans(block)
+        starts, ends = word_spans(block, breaks)
         p = powers(1)
         h = p.spans(p.prefix(_BYTE_VALUES[block]), starts, ends)
         out.append(mix(h ^ (ends - starts).astype(U64)))
@@ -108,9 +118,9 @@ def word_hashes(data: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, U64)
 
 
-def _next_break(data: np.ndarray, at: int) -> int:
+def _next_break(data: np.ndarray, at: int, breaks: np.ndarray) -> int:
     while at < len(data):
-        gaps = np.flatnonzero(_IS_BREAK[data[at : at + _BLOCK]])
+        gaps = np.flatnonzero(breaks[data[at : at + _BLOCK]])
         if len(gaps):
             return at + int(gaps[0]) + 1
         at += _BLOCK

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import jaccard_join, mixing, quality_rules, substring_dedup, token_counts, token_files, warc
+from stewardry.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op5_substring_dedup(spark, sf):
 def op3_jaccard_join(spark, sf):
     joined = jaccard_join.join_similar(table(spark, sf, "documents"))
     return joined.select(F.col("doc").alias("doc_id"), "class_id", "n_copies", "n_links")
+
+
+@query
+def op2_decontamination(spark, sf):
+    return decontaminate.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

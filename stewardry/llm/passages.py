@@ -21,18 +21,19 @@ GRAM_SEED, UNIT_SEED, WINDOW_SEEDS = 2, 3, (4, 5)
 
 
 def units(values: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """``anchor, content, low, high`` of each unit of windows of ``width`` values.
+    """``anchor, content, low, high, place`` of each unit of windows.
 
-    Windows start from ``low`` to ``high``; ``content`` is a hash of all values
-    from the first start to the last end. Long inputs go block by block.
+    Windows of ``width`` values start from ``low`` to ``high``; ``content`` is a
+    hash of all values from the first start to the last end, and ``place`` is
+    where the anchor starts. Long inputs go block by block.
     """
     parts = []
     for at in range(0, max(0, len(values) - width + 1), _MOST):
         block = values[at : at + _MOST + width - 1]
-        anchor, content, low, high = _units(block, width, gram)
-        parts.append((anchor, content, low + at, high + at))
+        anchor, content, low, high, place = _units(block, width, gram)
+        parts.append((anchor, content, low + at, high + at, place + at))
     if not parts:
-        return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.zeros(0, kind) for kind in (U64, U64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
@@ -45,7 +46,7 @@ def _units(values, width, gram):
     ends = np.concatenate([starts[1:] - 1, [len(at) - 1]])
     q = powers(UNIT_SEED)
     content = mix(q.spans(q.prefix(values), starts, ends + width) ^ (ends - starts).astype(U64))
-    return grams[at[starts]], content, starts, ends
+    return grams[at[starts]], content, starts, ends, at[starts]
 
 
 def window_hashes(values: np.ndarray, low: int, high: int, width: int) -> list[np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup, token_counts, token_files, warc
+from stewardry.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,8 @@ def op3_jaccard_join(spark, sf):
 @query
 def op2_decontamination(spark, sf):
     return decontaminate.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op10_suffix_dedup(spark, sf):
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))

@@ -45,7 +45,7 @@ def find_units(rows: DataFrame, width: int, gram: int) -> DataFrame:
                     owner.append(np.full(len(one[0]), i))
             if not found:
                 continue
-            anchor, content, low, high = (np.concatenate(c) for c in zip(*found))
+            anchor, content, low, high, _ = (np.concatenate(c) for c in zip(*found))
             at = pa.array(np.concatenate(owner))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup, suffix_dedup, token_counts, token_files, warc
+from stewardry.llm import decontaminate, jaccard_join, mixing, quality_cnn, quality_rules, substring_dedup, suffix_dedup, token_counts, token_files, warc
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,14 @@ def op2_decontamination(spark, sf):
 @query
 def op10_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op8_quality_cnn(spark, sf):
+    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    examples, counts = quality_cnn.sample(documents, labels, fold != 2, "text", "doc_id", "quality")
+    scored = quality_cnn.score(documents, quality_cnn.fit(examples, counts))
+    return scored.select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stewardry.llm.components import components
-from stewardry.llm.staging import staged
+from stewardry.llm.staging import hidden, staged
 from stewardry.llm.texts import U64, mix, plain_word_hashes, powers, signed, texts_of
 from stewardry.llm.token_files import groups
 
@@ -369,3 +369,27 @@ def join_similar(
         "n_links",
         (F.col("doc").eqNullSafe(F.col("class_id")) & (F.col("version") == F.col("_head"))).alias("is_first"),
     )
+
+
+def keep_first(
+    documents: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    gram: int = GRAM,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One document of each group of linked ones, with its columns as they are.
+
+    It is the one that :func:`join_similar` marks as first; of rows repeated in
+    full, one stays.
+    """
+    first = join_similar(documents, text, key, gram, threshold, recall).where("is_first")
+    first = first.select(F.col("doc").alias("_doc"), F.col("version").alias("_first")).distinct()
+    rows, names = hidden(documents)
+    body, own = names[text], names[key]
+    rows = rows.withColumn("_version", F.xxhash64(body))
+    kept = rows.join(first, (F.col("_version") == F.col("_first")) & F.col(own).eqNullSafe(F.col("_doc")))
+    turn = F.row_number().over(Window.partitionBy("_version", own).orderBy(body))
+    kept = kept.withColumn("_turn", turn).where("_turn = 1")
+    return kept.select(*[F.col(given).alias(c) for c, given in names.items()])

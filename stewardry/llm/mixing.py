@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stewardry.llm.staging import staged
+from stewardry.llm.staging import hidden, staged
 from stewardry.llm.texts import word_count, words
 from stewardry.operators.ordering import running_total
 
@@ -102,15 +102,17 @@ def take(
     )
     plan = plan.withColumn("_turn", F.row_number().over(Window.partitionBy(*same).orderBy("taken")))
     plan = plan.where("taken > 0").select(*[F.col(c).alias(f"plan{c}") for c in [*same, "_turn"]], "taken")
-    rows = documents.withColumns(
-        {"_key": F.col(key), "_source": F.col(source), "_size": word_count(F.coalesce(F.col(text), F.lit("")))}
+    rows, names = hidden(documents)
+    body = F.col(names[text])
+    rows = rows.withColumns(
+        {"_key": F.col(names[key]), "_source": F.col(names[source]), "_size": word_count(F.coalesce(body, F.lit("")))}
     )
-    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy(*same).orderBy(text)))
+    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy(*same).orderBy(body)))
     match = [F.col(c).eqNullSafe(F.col(f"plan{c}")) for c in [*same, "_turn"]]
     rows = rows.join(plan, reduce(lambda a, b: a & b, match)).withColumns(
         {"_whole": F.floor(F.col("taken") / F.col("_size")).cast("int"), "_part": (F.col("taken") % F.col("_size")).cast("int")}
     )
-    cut = F.when(F.col("_part") > 0, F.array(F.array_join(F.slice(words(F.col(text)), 1, F.col("_part")), " ")))
-    texts = F.concat(F.array_repeat(F.col(text), F.col("_whole")), F.coalesce(cut, F.array().cast("array<string>")))
+    cut = F.when(F.col("_part") > 0, F.array(F.array_join(F.slice(words(body), 1, F.col("_part")), " ")))
+    texts = F.concat(F.array_repeat(body, F.col("_whole")), F.coalesce(cut, F.array().cast("array<string>")))
     taken = rows.withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
-    return taken.select(*[F.col("_text").alias(c) if c == text else F.col(c) for c in documents.columns])
+    return taken.select(*[F.col("_text" if c == text else given).alias(c) for c, given in names.items()])

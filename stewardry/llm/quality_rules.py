@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.staging import staged
+from stewardry.llm.staging import hidden, staged
 from stewardry.llm.texts import BREAKS, words
 
 # Symbol characters of the base facts.
@@ -158,3 +158,10 @@ def judge(
     rows = facts.join(verdicts, F.col(host).eqNullSafe(F.col("_host"))).drop("_host")
     rows = rows.withColumn("base_failed", F.col("_fails_base"))
     return rows.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop(*[f"_fails_{r}" for r in RULES])
+
+
+def keep(documents: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The documents that :func:`judge` keeps, with their columns as they are."""
+    given, names = hidden(documents)
+    kept = judge(given, names[text], names[host]).where("kept")
+    return kept.select(*[F.col(given_as).alias(c) for c, given_as in names.items()])

@@ -59,6 +59,12 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def hidden(documents: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same rows under names that no added column has, and those names."""
+    names = {c: f"_given{i}" for i, c in enumerate(documents.columns)}
+    return documents.toDF(*names.values()), names
+
+
 def file_system(uri: str):
     """The store of ``uri`` for tasks that write bytes: ``(store, path)``."""
     from pyarrow import fs

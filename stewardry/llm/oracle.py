@@ -7,9 +7,9 @@ ORACLES: dict[str, str] = {}
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 _RATES = ", ".join(
-    f"""CASE WHEN var_{r} - mean_{r} * (1 - mean_{r}) * inverse > 0 THEN
-    (n_{r} + mean_{r} * greatest(mean_{r} * (1 - mean_{r}) / (var_{r} - mean_{r} * (1 - mean_{r}) * inverse) - 1, 0))
-    / (n + greatest(mean_{r} * (1 - mean_{r}) / (var_{r} - mean_{r} * (1 - mean_{r}) * inverse) - 1, 0))
+    f"""CASE WHEN between_{r} > 0 THEN
+    (n_{r} + mean_{r} * greatest(mean_{r} * (1 - mean_{r}) / between_{r} - 1, 0))
+    / (n + greatest(mean_{r} * (1 - mean_{r}) / between_{r} - 1, 0))
     ELSE mean_{r} END AS rate_{r}"""
     for r in RULES
 )
@@ -39,9 +39,12 @@ hosts AS (
   SELECT source, count(*) AS n, {", ".join(f"count(*) FILTER (fails_{r}) AS n_{r}" for r in RULES)}
   FROM judged GROUP BY source),
 moments AS (
-  SELECT avg(1 / n) AS inverse,
-    {", ".join(f"sum(n_{r}) / sum(n) AS mean_{r}, var_pop(n_{r} / n) AS var_{r}" for r in RULES)} FROM hosts),
-rates AS (SELECT source, {_RATES} FROM hosts, moments)
+  SELECT count(*) AS hosts, sum(n) AS total,
+    {", ".join(f"sum(n_{r}) / sum(n) AS mean_{r}, sum(n_{r} * (n_{r} / n)) / sum(n) AS square_{r}" for r in RULES)} FROM hosts),
+spreads AS (
+  SELECT *, {", ".join(f"square_{r} - mean_{r} * mean_{r} - mean_{r} * (1 - mean_{r}) * hosts / total AS between_{r}" for r in RULES)}
+  FROM moments),
+rates AS (SELECT source, {_RATES} FROM hosts, spreads)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
   NOT fails_base AND {" AND ".join(f"rate_{r} <= {MAX_HOST_RATE}" for r in RULES)} AS kept

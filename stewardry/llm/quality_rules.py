@@ -103,9 +103,10 @@ def host_rates(failures: DataFrame, host: str, rules: list[str]) -> DataFrame:
     """One row per host: documents, and for each rule the shrunken failure rate.
 
     ``failures`` has a boolean column ``fails_<rule>`` per rule. The prior of a
-    rule has the mean m of all hosts and the strength s = m (1 - m) / v - 1,
-    where v is the variance of the hosts' rates less what chance adds to it; a
-    variance of nothing or less means that the hosts are alike, and each gets m.
+    rule has the mean m of all documents and the strength s = m (1 - m) / v - 1,
+    where v is the variance of the hosts' rates, each host weighing as much as it
+    has documents, less what chance adds to it; a variance of nothing or less
+    means that the hosts are alike, and each gets m.
     """
     counted = failures.groupBy(host).agg(
         F.count(F.lit(1)).alias("n_documents"),
@@ -114,9 +115,9 @@ def host_rates(failures: DataFrame, host: str, rules: list[str]) -> DataFrame:
     share = lambda r: F.col(f"n_{r}") / F.col("n_documents")
     moments = counted.agg(
         F.sum("n_documents").alias("_all"),
-        F.avg(1 / F.col("n_documents")).alias("_inverse"),
+        F.count(F.lit(1)).alias("_hosts"),
         *[F.sum(f"n_{r}").alias(f"_sum_{r}") for r in rules],
-        *[F.coalesce(F.var_pop(share(r)), F.lit(0.0)).alias(f"_var_{r}") for r in rules],
+        *[F.sum(F.col(f"n_{r}") * share(r)).alias(f"_squares_{r}") for r in rules],
     )
     # One row of fixed width against the hosts.
     rows = counted.join(F.broadcast(moments))
@@ -124,7 +125,7 @@ def host_rates(failures: DataFrame, host: str, rules: list[str]) -> DataFrame:
     for r in rules:
         mean = F.col(f"_sum_{r}") / F.col("_all")
         chance = mean * (1 - mean)
-        between = F.col(f"_var_{r}") - chance * F.col("_inverse")
+        between = F.col(f"_squares_{r}") / F.col("_all") - mean * mean - chance * F.col("_hosts") / F.col("_all")
         strength = F.greatest(chance / between - 1, F.lit(0.0))
         shrunk = (F.col(f"n_{r}") + mean * strength) / (F.col("n_documents") + strength)
         out[f"rate_{r}"] = F.when(between > 0, shrunk).otherwise(mean)

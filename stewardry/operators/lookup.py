@@ -21,15 +21,14 @@ def first_match(
 
     An aggregation, so the rows of a hot key shrink to one per map task before
     the exchange. Rows with a null key are left out, since they match nothing.
+    Inside, fields have fixed names, so that lookups of the same values under
+    different names share one exchange.
     """
-    first = F.min_by(F.struct(*[F.col(c).alias(out) for c, out in values.items()]), F.col(order))
-    return (
-        dimension.where(all_of([k.isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(first.alias("_first"))
-        .select("*", "_first.*")
-        .drop("_first")
-    )
+    fields = {f"v{i}": (column, name) for i, (column, name) in enumerate(values.items())}
+    first = F.min_by(F.struct(*[F.col(c).alias(v) for v, (c, _) in fields.items()]), F.col(order))
+    firsts = dimension.where(all_of([k.isNotNull() for k in keys])).groupBy(*keys).agg(first.alias("_first"))
+    names = [c for c in firsts.columns if c != "_first"]
+    return firsts.select(*names, *[F.col(f"_first.{v}").alias(out) for v, (_, out) in fields.items()])
 
 
 def left_lookup(rows: DataFrame, side: DataFrame, on: dict[str, str]) -> DataFrame:

@@ -56,28 +56,23 @@ def positions(rows: DataFrame, order: list[Column], name: str, group: list[str]
     return counted.withColumn(name, F.col(name) + 1)
 
 
-def page(rows: DataFrame, group: list[str], order: list[Column], skip: int, top: int) -> DataFrame:
+def page(
+    rows: DataFrame, group: list[str], order: list[Column], tie: str, skip: int, top: int
+) -> DataFrame:
     """Rows ``skip + 1`` to ``skip + top`` of each group, with their ``position``.
 
-    For an early page a rank filter is enough: Spark then keeps only the first
-    rows of a group in each map task (window group limit), up to a limit that
-    is a session setting. A page beyond it is cut from distributed positions.
+    ``tie`` names a column that differs between all rows of a group, so that the
+    order is total. Positions are distributed, whatever the page.
     """
-    limit = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    last = skip + top
-    if last < limit:
-        window = Window.partitionBy(*group).orderBy(*order)
-        ranked = rows.withColumn("position", F.row_number().over(window).cast("long"))
-        first = ranked.where(F.col("position") <= last)
-    else:
-        first = positions(rows, order, "position", group).where(F.col("position") <= last)
-    return first.where(F.col("position") > skip)
+    placed = positions(rows, [*order, F.col(tie)], "position", group)
+    return placed.where((F.col("position") > skip) & (F.col("position") <= skip + top))
 
 
-def reorder_by_list(rows: DataFrame, key: str, wanted: DataFrame, order: str = ROW) -> DataFrame:
+def reorder_by_list(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """Rows as an explicit list of keys names them, once for each naming.
 
-    ``wanted`` has ``position`` and ``key``. Output order is (position, row).
+    ``wanted`` has ``position`` and ``key``. A key that no row has keeps its
+    position, with nulls in place of a row. Output order is (position, row).
     """
     named = wanted.select(F.col("key").alias("_wanted"), "position")
-    return rows.join(named, F.col(key) == F.col("_wanted")).drop("_wanted")
+    return named.join(rows, F.col("_wanted") == F.col(key), "left").drop("_wanted")

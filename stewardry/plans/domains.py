@@ -27,8 +27,9 @@ def with_parent(
 ) -> DataFrame:
     """Add each row's parent id unless the file brings one.
 
-    A parent is looked for in the catalog, then among the domains the file (or
-    ``batch``) creates. ``strict`` leaves the second out, as when parents must
+    A parent is looked for in the catalog, then among the domains of earlier
+    rows of the file (or ``batch``), so no domain becomes its own parent, over
+    however many steps. ``strict`` leaves the second out, as when parents must
     have been there before the load.
     """
     if PARENT_ID in file.columns:
@@ -38,7 +39,7 @@ def with_parent(
         return found
     named = (file if batch is None else batch).select(NAME, ROW)
     both = resolve(found, named, {PARENT: NAME}, {ROW: "_parent_row"})
-    new_id = F.when(F.col("_parent_row").isNotNull(), stable_id("domain", F.col(PARENT)))
+    new_id = F.when(F.col("_parent_row") < F.col(ROW), stable_id("domain", F.col(PARENT)))
     return both.withColumn(PARENT_ID, F.coalesce(PARENT_ID, new_id)).drop("_parent_row")
 
 

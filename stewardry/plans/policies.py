@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stewardry.functions.text import without_spaces
 from stewardry.operators.lookup import ROW, resolve_cells
-from stewardry.operators.policies import add_members
-from stewardry.schemas import DOMAIN_POLICY, POLICY_DOCUMENT, QUALITY_POLICY
-from stewardry.sources.documents import parse_policies
+from stewardry.operators.policies import add_members, rule_list
+from stewardry.schemas import DOMAIN_POLICY, QUALITY_POLICY
 
 # Numbers of the rules that hold members and stewards.
 MEMBER_RULE, STEWARD_RULE = 0, 2
@@ -57,18 +57,15 @@ def domain_members(loaded: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def merge_members(
-    loaded: DataFrame,
-    policies: DataFrame,
-    documents: DataFrame,
-    users: DataFrame,
-    schema: T.StructType = POLICY_DOCUMENT,
+    loaded: DataFrame, policies: DataFrame, documents: DataFrame, users: DataFrame
 ) -> DataFrame:
-    """Policies that change, as ``id, policy``.
+    """Policies that change, as ``id, document`` with the whole new document.
 
     ``loaded`` holds catalog domains joined with their file rows, ``documents``
-    the policies as ``id, document``; only those of loaded domains are parsed,
-    with a ``schema`` that names all keys a rewrite must keep. Owners join the member rule of both policies of their
-    domain, and the steward rule of the quality policy.
+    the policies as ``id, document``; only those of loaded domains are parsed.
+    Owners join the member rule of both policies of their domain, and the
+    steward rule of the quality policy. All other keys of a document stay,
+    whatever they are; keys come out sorted.
     """
     targets = policy_targets(loaded.select("id").distinct(), policies)
     members = domain_members(loaded, users).withColumnRenamed("domain_id", "_domain")
@@ -76,15 +73,15 @@ def merge_members(
     rows = rows.select(
         "policy_id", "members", (F.col("prefix") == QUALITY_POLICY).alias("_is_quality")
     )
-    found = parse_policies(documents.join(rows, F.col("id") == F.col("policy_id")), schema)
+    found = documents.join(rows, F.col("id") == F.col("policy_id")).withColumn(
+        "_policy", F.try_parse_json("document")
+    )
     none = F.array().cast("array<string>")
     stewards = F.when(F.col("_is_quality"), F.col("members")).otherwise(none)
-    rules = add_members(
-        F.col("policy.properties.attributeRules"),
-        {MEMBER_RULE: F.col("members"), STEWARD_RULE: stewards},
-    )
-    changed = found.withColumn("_rules", rules).where(
-        ~F.col("_rules").eqNullSafe(F.col("policy.properties.attributeRules"))
-    )
-    new_policy = F.col("policy").withField("properties.attributeRules", F.col("_rules"))
-    return changed.select("id", new_policy.alias("policy"))
+    wanted = {MEMBER_RULE: F.col("members"), STEWARD_RULE: stewards}
+    changes = []
+    for rule, new in wanted.items():
+        is_there, held = rule_list(F.col("_policy"), rule)
+        changes.append(is_there & (F.size(F.array_except(new, F.coalesce(held, none))) > 0))
+    changed = found.where(reduce(lambda a, b: a | b, changes))
+    return changed.select("id", F.to_json(add_members(F.col("_policy"), wanted)).alias("document"))

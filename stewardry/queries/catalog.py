@@ -329,6 +329,12 @@ def cde_upsert(spark, sf):
     return _plan_cdes(spark, sf).select(ROW, "id", "name", "domain", "action", "error", "record")
 
 
+@query
+def asset_search(spark, sf):
+    found = assets.search(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn")
+    return found.select("qualifiedName", "id", ROW)
+
+
 @query
 def asset_upsert(spark, sf):
     rows = assets.resolve_guids(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn")
@@ -603,19 +609,13 @@ def edges_asset(spark, sf):
 
 @query
 def policy_merge(spark, sf):
-    merged = policies.merge_members(
+    return policies.merge_members(
         _loaded(spark, sf),
         load(spark, sf, "policies"),
         inputs.policy_documents(spark, sf),
         load(spark, sf, "users"),
     )
 
-    def members(rule):
-        one = F.get("policy.properties.attributeRules", F.lit(rule))["dnfCondition"]
-        return F.array_join(F.get(F.get(one, F.lit(0)), F.lit(0))["attributeValueIncludedIn"], ",")
-
-    return merged.select("id", members(0).alias("members"), members(2).alias("stewards"))
-
 
 @query
 def classify_outcomes(spark, sf):

@@ -22,7 +22,6 @@ from stewardry.schemas import (
     RESOURCE_SET,
     SQL_TABLE,
 )
-from stewardry.session import spread
 
 
 @dataclass(frozen=True)
@@ -133,6 +132,10 @@ INPUTS: dict[str, list[Branch]] = {
                 "business_domain_name": CUSTOMER_NAME,
                 "business_domain_parent": (
                     f"CASE WHEN {O} % 11 = 0 THEN null WHEN {O} % 7 = 0 THEN 'No such domain' "
+                    # Its own parent, two that are each other's, and a chain of neighbours.
+                    f"WHEN {O} % 13 = 0 THEN {CUSTOMER_NAME} WHEN o_custkey = 20 THEN {numbered('Customer', '21')} "
+                    f"WHEN o_custkey = 21 THEN {numbered('Customer', '20')} "
+                    f"WHEN o_custkey % 3 = 2 THEN {numbered('Customer', 'o_custkey - 1')} "
                     f"ELSE {numbered('Customer', whole('o_custkey / 4'))} END"
                 ),
                 "business_domain_email_owners": owner_cell(O),
@@ -364,6 +367,7 @@ INPUTS: dict[str, list[Branch]] = {
 INPUTS["wanted"] = [
     Branch("customer", {"position": f"{BILLION} - {K}", "key": "c_name"}, f"{K} % 2 = 0"),
     Branch("customer", {"position": f"{2 * BILLION} - {K}", "key": "c_name"}, f"{K} % 10 = 0"),
+    Branch("customer", {"position": f"{3 * BILLION} - {K}", "key": "'Not there ' || c_name"}, f"{K} % 20 = 0"),
 ]
 # Paths of every asset, and page addresses with their odd shapes.
 INPUTS["paths"] = [
@@ -372,7 +376,8 @@ INPUTS["paths"] = [
 ]
 INPUTS["html"] = [
     Branch("pages", {"kind": "'page'", "key": "page_id", "body": "html"}),
-    Branch("documents", {"kind": "'document'", "key": "doc_id", "body": "CASE WHEN doc_id % 10 <> 0 THEN text END"}),
+    Branch("documents", {"kind": "'document'", "key": "doc_id", "body": "text"}),
+    Branch("pages", {"kind": "'no text'", "key": "page_id", "body": NO_TEXT}),
 ]
 INPUTS["all_assets"] = [
     Branch("orders", {"_row": O, "guid": f"'g-' || {text(O)}", "fqn": fqn(O), "account": f"'acct-' || {text(f'{O} % 3')}"}),
@@ -442,7 +447,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_kept
 def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = table(spark, sf_dir, name)
-    return spread(rows, KEYS[name]) if name in KEYS else rows
+    return rows.repartition(F.col(KEYS[name])) if name in KEYS else rows
 
 
 @_kept
@@ -615,7 +620,7 @@ def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_kept
 def policy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, document``: one member twice in every other policy, a steward rule
-    in quality policies."""
+    in quality policies, and keys that no rewrite knows of."""
     rows = load(spark, sf_dir, "policies").withColumn(
         "_key", F.substring_index("id", "-", -1).cast("long")
     )
@@ -647,6 +652,12 @@ def policy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id",
         "name",
         F.lit(1).cast("long").alias("version"),
-        F.struct(F.lit("policy").alias("description"), rules.alias("attributeRules")).alias("properties"),
+        F.struct(
+            F.lit("policy").alias("description"),
+            rules.alias("attributeRules"),
+            # Keys no rewrite knows of.
+            F.array(F.struct(F.lit("decisionrule").alias("kind"), F.lit("Permit").alias("effect"))).alias("decisionRules"),
+            F.struct(F.lit("CollectionReference").alias("type"), F.col("_key").alias("number")).alias("collection"),
+        ).alias("properties"),
     )
     return rows.select("id", F.to_json(document).alias("document"))

@@ -193,7 +193,7 @@ step(
 
 # Domains
 BATCH_DOMAIN = new_id("domain", "f.business_domain_parent")
-step("domain_names", f"SELECT DISTINCT {DOMAIN} AS name FROM x_domain_file", "x_domain_file")
+step("domain_names", f"SELECT {DOMAIN} AS name, min(_row) AS first_row FROM x_domain_file GROUP BY ALL", "x_domain_file")
 step(
     "r_domains",
     f"""
@@ -204,7 +204,7 @@ step(
     FROM x_domain_file f
     LEFT JOIN f_domains own ON own.name = f.{DOMAIN}
     LEFT JOIN f_domains par ON par.name = f.business_domain_parent
-    LEFT JOIN domain_names b ON b.name = f.business_domain_parent""",
+    LEFT JOIN domain_names b ON b.name = f.business_domain_parent AND b.first_row < f._row""",
     "x_domain_file", "f_domains", "domain_names",
 )
 step(
@@ -559,6 +559,13 @@ oracle(
     f"SELECT f._row, {id_list('o.ids')} AS contacts FROM x_okr_file f LEFT JOIN o_okrs o ON o.cell = f.owner",
     "x_okr_file", "o_okrs",
 )
+oracle(
+    "asset_search",
+    """SELECT h.qualifiedName, h.id, h._row FROM x_hits h WHERE h.objectType IS DISTINCT FROM 'Glossary terms'
+    AND h.qualifiedName IN (SELECT data_asset_fqn FROM x_asset_file)
+    QUALIFY row_number() OVER (PARTITION BY h.qualifiedName ORDER BY h._row) <= 10""",
+    "x_hits", "x_asset_file",
+)
 oracle(
     "asset_resolve",
     "SELECT f._row, f.data_asset_fqn, h.id AS guid FROM x_asset_file f LEFT JOIN f_hits h ON h.qualifiedName = f.data_asset_fqn",
@@ -623,7 +630,7 @@ oracle(
 )
 oracle(
     "reorder_by_list",
-    f"SELECT f._row, f.{NAME}, w.position FROM x_wanted w JOIN x_term_file f ON f.{NAME} = w.key",
+    f"SELECT f._row, f.{NAME}, w.position FROM x_wanted w LEFT JOIN x_term_file f ON f.{NAME} = w.key",
     "x_term_file", "x_wanted",
 )
 
@@ -786,10 +793,30 @@ oracle(
     "x_asset_file", "x_products", "usable_assets",
 )
 NEW = "list_filter(m.members, lambda x: NOT list_contains({0}, x))"
+
+
+def text_list(items: str) -> str:
+    return f"""CASE WHEN len({items}) = 0 THEN '[]' ELSE '["' || array_to_string({items}, '","') || '"]' END"""
+
+
+def policy_rule(name: str, items: str) -> str:
+    return (
+        """'{"dnfCondition":[[{"attributeName":"principal.id","attributeValueIncludedIn":' || """
+        + text_list(items)
+        + """ || '},{"attributeName":"principal.group","attributeValueIncludedIn":["everyone"]}]],"""
+        + f""""kind":"attributerule","name":"{name}"}}'"""
+    )
+
+
+MERGED = f"list_concat(h.included, {NEW.format('h.included')})"
+NOBODY = "[]::VARCHAR[]"
 oracle(
     "policy_merge",
-    f"""SELECT h.id, array_to_string(list_concat(h.included, {NEW.format('h.included')}), ',') AS members,
-    CASE WHEN h.name LIKE '{QUALITY_POLICY}%' THEN array_to_string(m.members, ',') END AS stewards
+    f"""SELECT h.id, '{{"id":"' || h.id || '","name":"' || h.name || '","properties":{{"attributeRules":[' ||
+      {policy_rule('member', MERGED)} || CASE WHEN h.name LIKE '{QUALITY_POLICY}%' THEN ',' || {policy_rule('reader', NOBODY)}
+        || ',' || {policy_rule('steward', 'm.members')} ELSE '' END ||
+      '],"collection":{{"number":' || cast(h.k AS varchar) || ',"type":"CollectionReference"}},"decisionRules":[{{"effect":"Permit","kind":"decisionrule"}}],'
+      || '"description":"policy"}},"version":1}}' AS document
     FROM held h JOIN members m ON h.name IN ('{DOMAIN_POLICY}' || m.id, '{QUALITY_POLICY}' || m.id)
     WHERE len({NEW.format('h.included')}) > 0 OR (h.name LIKE '{QUALITY_POLICY}%' AND len(m.members) > 0)""",
     "held", "members",

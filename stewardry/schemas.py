@@ -144,31 +144,6 @@ ASSET_DOCUMENT = _struct(
 )
 LINEAGE_DOCUMENT = _struct(guidEntityMap=T.MapType(TEXT, _texts("guid", "typeName")))
 
-POLICY_CONDITION = _struct(
-    attributeName=TEXT,
-    fromRule=TEXT,
-    attributeValueIncludes=TEXT,
-    attributeValueIncludedIn=T.ArrayType(TEXT),
-)
-POLICY_RULE = _struct(
-    kind=TEXT,
-    id=TEXT,
-    name=TEXT,
-    dnfCondition=T.ArrayType(T.ArrayType(POLICY_CONDITION)),
-)
-# Keys of a policy that no rewrite touches. A deployment whose policies carry
-# more keys passes its own schema, so that they survive the rewrite.
-POLICY_DOCUMENT = _struct(
-    id=TEXT,
-    name=TEXT,
-    version=T.LongType(),
-    properties=_struct(
-        description=TEXT,
-        entity=_struct(type=TEXT, referenceName=TEXT),
-        attributeRules=T.ArrayType(POLICY_RULE),
-    ),
-)
-
 # Asset types the loader can build a record for.
 SQL_TABLE = "azure_sql_table"
 RESOURCE_SET = "azure_datalake_gen2_resource_set"

@@ -68,14 +68,3 @@ def stage(rows: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return rows.checkpoint(eager=True)
-
-
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Widen a scan that has fewer partitions than there are cores.
-
-    One small file, or one with line breaks in its cells, is read by a single
-    task, and joins that need no exchange would all stay in that task. Scans
-    that are wide already are left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows

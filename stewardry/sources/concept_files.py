@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stewardry.operators.lookup import ROW
 from stewardry.schemas import COLUMN_SPELLINGS, CONCEPT_FILES
-from stewardry.session import spread, stage
+from stewardry.session import stage
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -30,7 +30,8 @@ def read_concepts(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """
     raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
     rows = as_concepts(raw, kind).withColumn(ROW, F.monotonically_increasing_id())
-    return stage(spread(rows, ROW))
+    # A file with line breaks in its cells is read by one task.
+    return stage(rows.repartition(F.col(ROW)))
 
 
 def as_concepts(raw: DataFrame, kind: str) -> DataFrame:

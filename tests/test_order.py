@@ -56,7 +56,7 @@ def test_positions_within_groups_and_totals(spark):
 def test_pages_early_and_late_agree_with_sorting(spark):
     rows, frame = _data(spark)
     for skip, top in ((0, 25), (10, 5), (600, 500)):
-        out = page(frame, ["grp"], [F.col("_row")], skip, top).collect()
+        out = page(frame, ["grp"], [F.lit(1)], "_row", skip, top).collect()
         expected = set()
         for grp in {r[1] for r in rows}:
             mine = sorted(r[0] for r in rows if r[1] == grp)[skip : skip + top]
@@ -68,4 +68,4 @@ def test_reorder_repeats_rows_as_listed(spark):
     rows = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a")], "_row long, name string")
     wanted = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b"), (3, "zz")], "position long, key string")
     out = reorder_by_list(rows, "name", wanted).orderBy("position", "_row").collect()
-    assert [(r.position, r._row) for r in out] == [(0, 1), (1, 0), (1, 2), (2, 1)]
+    assert [(r.position, r._row) for r in out] == [(0, 1), (1, 0), (1, 2), (2, 1), (3, None)]

@@ -101,3 +101,17 @@ def test_asset_columns_in_schema_order(spark):
         ("a", 0, "x", None, "int"),
         ("a", 1, "y", ["P"], None),
     ]
+
+
+def test_pages_come_in_the_order_of_their_numbers(spark, tmp_path):
+    for n in (1, 2, 10):
+        (tmp_path / f"page-{n}.json").write_text(json.dumps({"value": [{"id": str(n), "name": "same"}]}))
+    pages = snapshots.read_documents(spark, str(tmp_path))
+    rows = snapshots.numbered(snapshots.catalog_list(pages, "domains"), F.col("page"), F.col("_pos"))
+    assert [r.id for r in rows.orderBy("_row").collect()] == ["1", "2", "10"]
+
+
+def test_a_page_without_a_number_fails(spark, tmp_path):
+    (tmp_path / "page.json").write_text("{}")
+    with pytest.raises(Exception, match="no page number"):
+        snapshots.read_documents(spark, str(tmp_path)).collect()

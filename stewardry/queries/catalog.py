@@ -260,7 +260,7 @@ def owner_struct(spark, sf):
 
 @query
 def asset_resolve(spark, sf):
-    rows = assets.resolve_guids(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn")
+    rows = assets.resolve_guids(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn", "data_asset_account")
     return rows.select(ROW, "data_asset_fqn", "guid")
 
 
@@ -273,7 +273,8 @@ def policy_targets(spark, sf):
 
 @query
 def cde_column_match(spark, sf):
-    found = assets.resolve_guids(load(spark, sf, "cde_file"), load(spark, sf, "hits"), "cde_fqdn")
+    file = load(spark, sf, "cde_file").withColumn("account", F.lit(inputs.CDE_ACCOUNT))
+    found = assets.resolve_guids(file, load(spark, sf, "hits"), "cde_fqdn", "account")
     rows = assets.with_existing(found, load(spark, sf, "assets")).where(F.col("action") == assets.REUSE)
     rows = rows.select(ROW, "asset_id", F.col("cde_column_name").alias("column_name"))
     details = snapshots.asset_details(inputs.detail_documents(spark, sf))
@@ -331,13 +332,15 @@ def cde_upsert(spark, sf):
 
 @query
 def asset_search(spark, sf):
-    found = assets.search(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn")
-    return found.select("qualifiedName", "id", ROW)
+    file = load(spark, sf, "asset_file")
+    found = assets.search(file, load(spark, sf, "hits"), "data_asset_fqn", "data_asset_account")
+    return found.select("qualifiedName", "account", "id", ROW)
 
 
 @query
 def asset_upsert(spark, sf):
-    rows = assets.resolve_guids(load(spark, sf, "asset_file"), load(spark, sf, "hits"), "data_asset_fqn")
+    file = load(spark, sf, "asset_file")
+    rows = assets.resolve_guids(file, load(spark, sf, "hits"), "data_asset_fqn", "data_asset_account")
     rows = assets.with_existing(rows, load(spark, sf, "assets"))
     return rows.select(ROW, "guid", "action", "asset_id", "description")
 
@@ -556,7 +559,7 @@ def _plan_paths(spark, sf, paths):
 
 
 def _cde_columns(spark, sf):
-    paths = load(spark, sf, "cde_file").select(ROW, F.col("cde_fqdn").alias("fqn"), F.lit("acct").alias("account"))
+    paths = load(spark, sf, "cde_file").select(ROW, F.col("cde_fqdn").alias("fqn"), F.lit(inputs.CDE_ACCOUNT).alias("account"))
     details = snapshots.asset_details(inputs.detail_documents(spark, sf))
     described = assets.with_details(_plan_paths(spark, sf, paths), details)
     return cdes.cde_columns(_plan_cdes(spark, sf), described)

@@ -80,6 +80,8 @@ K, O, P, S = "c_custkey", "o_orderkey", "p_partkey", "s_suppkey"
 CUSTOMER_NAME = numbered("Customer", "o_custkey")
 ORDER_DOMAIN = f"('Brand#' || {text('o_custkey % 26')})"
 BILLION = 1_000_000_000
+# Element files name no account; a load of them has one.
+CDE_ACCOUNT = "acct-0"
 
 
 def _tree(domain: str) -> dict[str, str]:
@@ -292,14 +294,33 @@ INPUTS: dict[str, list[Branch]] = {
                 "id": f"'g-' || {text(O)}",
                 "qualifiedName": fqn(O),
                 "objectType": f"CASE WHEN {O} % 13 = 0 THEN 'Glossary terms' WHEN {O} % 17 = 0 THEN null ELSE 'Tables' END",
+                "account": f"'acct-' || {text(f'{O} % 3')}",
                 "_row": O,
             },
         ),
         Branch(
             "orders",
-            {"id": f"'g-dup-' || {text(O)}", "qualifiedName": fqn(O), "objectType": "'Tables'", "_row": f"{BILLION} + {O}"},
+            {
+                "id": f"'g-dup-' || {text(O)}",
+                "qualifiedName": fqn(O),
+                "objectType": "'Tables'",
+                "account": f"'acct-' || {text(f'{O} % 3')}",
+                "_row": f"{BILLION} + {O}",
+            },
             f"{O} % 8 = 0",
         ),
+        # The same path in another account is another asset of the same kind.
+        Branch(
+            "orders",
+            {
+                "id": f"'g-' || {text(f'{O} + 35')}",
+                "qualifiedName": fqn(O),
+                "objectType": "'Tables'",
+                "account": f"'acct-' || {text(f'({O} + 1) % 3')}",
+                "_row": f"{2 * BILLION} + {O}",
+            },
+            f"{O} % 2 = 0",
+        ),
     ],
     "assets": [
         Branch(

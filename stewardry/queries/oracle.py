@@ -6,7 +6,7 @@ recursive queries are fine here, as the tables of a check are small.
 
 from __future__ import annotations
 
-from stewardry.queries.inputs import INPUTS, as_sql, lines_sql
+from stewardry.queries.inputs import CDE_ACCOUNT, INPUTS, as_sql, lines_sql
 from stewardry.schemas import DOMAIN_POLICY, LAKEHOUSE_TABLE, QUALITY_POLICY, REPORT, RESOURCE_SET, SQL_TABLE
 
 NAME, DOMAIN, PARENT = "glossary_term_name", "business_domain_name", "glossary_term_parent_term"
@@ -90,8 +90,8 @@ step("f_okrs", first("x_okrs", "domain", "definition"), "x_okrs")
 step("f_cdes", first("x_cdes", "domain", "name"), "x_cdes")
 step(
     "f_hits",
-    "SELECT DISTINCT ON (qualifiedName) * FROM x_hits "
-    "WHERE objectType IS DISTINCT FROM 'Glossary terms' ORDER BY qualifiedName, _row",
+    "SELECT DISTINCT ON (qualifiedName, account) * FROM x_hits "
+    "WHERE objectType IS DISTINCT FROM 'Glossary terms' ORDER BY qualifiedName, account, _row",
     "x_hits",
 )
 step("lines", lines_sql())
@@ -380,7 +380,7 @@ step(
 step(
     "asset_by_path",
     f"""
-    SELECT h.qualifiedName AS fqn, h.id AS guid, k.id AS kept_id, k.description AS kept_description,
+    SELECT h.qualifiedName AS fqn, h.account, h.id AS guid, k.id AS kept_id, k.description AS kept_description,
       r.outcome AS built, r.description AS built_description, r.asset_type,
       {new_id('asset', 'h.id')} AS new_asset_id
     FROM f_hits h LEFT JOIN x_assets k ON k.dataMapAssetId = h.id LEFT JOIN r_assets r ON r.guid = h.id""",
@@ -389,7 +389,7 @@ step(
 step(
     "usable_assets",
     """
-    SELECT fqn, guid, coalesce(kept_id, CASE WHEN built = 'create' THEN new_asset_id END) AS asset_id,
+    SELECT fqn, account, guid, coalesce(kept_id, CASE WHEN built = 'create' THEN new_asset_id END) AS asset_id,
       CASE WHEN kept_id IS NOT NULL THEN kept_description WHEN built = 'create' THEN built_description END AS description
     FROM asset_by_path""",
     "asset_by_path",
@@ -405,10 +405,10 @@ step(
 )
 step(
     "m_cdes",
-    """
+    f"""
     SELECT DISTINCT ON (c.cde_id, c.domain_id, a.asset_id, lower(c.cde_column_name))
       c.cde_id, c.domain_id, a.asset_id, k.asset_name, k.name, k.description, k.flag, k.type
-    FROM r_cdes c JOIN usable_assets a ON a.fqn = c.cde_fqdn
+    FROM r_cdes c JOIN usable_assets a ON a.fqn = c.cde_fqdn AND a.account = '{CDE_ACCOUNT}'
     JOIN all_columns k ON k.asset_id = a.asset_id AND lower(k.name) = lower(c.cde_column_name)
     WHERE c.action <> 'failed' ORDER BY c.cde_id, c.domain_id, a.asset_id, lower(c.cde_column_name), k.ord""",
     "r_cdes", "usable_assets", "all_columns",
@@ -561,14 +561,15 @@ oracle(
 )
 oracle(
     "asset_search",
-    """SELECT h.qualifiedName, h.id, h._row FROM x_hits h WHERE h.objectType IS DISTINCT FROM 'Glossary terms'
-    AND h.qualifiedName IN (SELECT data_asset_fqn FROM x_asset_file)
-    QUALIFY row_number() OVER (PARTITION BY h.qualifiedName ORDER BY h._row) <= 10""",
+    """SELECT h.qualifiedName, h.account, h.id, h._row FROM x_hits h WHERE h.objectType IS DISTINCT FROM 'Glossary terms'
+    AND (h.qualifiedName, h.account) IN (SELECT data_asset_fqn, data_asset_account FROM x_asset_file)
+    QUALIFY row_number() OVER (PARTITION BY h.qualifiedName, h.account ORDER BY h._row) <= 10""",
     "x_hits", "x_asset_file",
 )
 oracle(
     "asset_resolve",
-    "SELECT f._row, f.data_asset_fqn, h.id AS guid FROM x_asset_file f LEFT JOIN f_hits h ON h.qualifiedName = f.data_asset_fqn",
+    "SELECT f._row, f.data_asset_fqn, h.id AS guid FROM x_asset_file f LEFT JOIN f_hits h "
+    "ON h.qualifiedName = f.data_asset_fqn AND h.account = f.data_asset_account",
     "x_asset_file", "f_hits",
 )
 oracle(
@@ -583,7 +584,7 @@ oracle(
     f"""SELECT f._row, a.id AS asset_id, f.cde_column_name AS column_name, k.asset_name, k.name AS matched_name,
     k.description AS matched_description, CASE WHEN k.name IS NOT NULL THEN {CLASS_NAMES} END AS matched_classifications,
     k.type AS matched_type
-    FROM x_cde_file f JOIN f_hits h ON h.qualifiedName = f.cde_fqdn JOIN x_assets a ON a.dataMapAssetId = h.id
+    FROM x_cde_file f JOIN f_hits h ON h.qualifiedName = f.cde_fqdn AND h.account = '{CDE_ACCOUNT}' JOIN x_assets a ON a.dataMapAssetId = h.id
     LEFT JOIN kept_columns k ON k.asset_id = a.id AND lower(k.name) = lower(f.cde_column_name)""",
     "x_cde_file", "f_hits", "kept_columns",
 )
@@ -611,7 +612,8 @@ oracle(
     "asset_upsert",
     """SELECT f._row, a.guid, CASE WHEN a.kept_id IS NOT NULL THEN 'reuse' WHEN a.guid IS NOT NULL THEN 'create' END AS action,
     coalesce(a.kept_id, a.new_asset_id) AS asset_id, a.kept_description AS description
-    FROM x_asset_file f LEFT JOIN asset_by_path a ON a.fqn = f.data_asset_fqn""",
+    FROM x_asset_file f LEFT JOIN asset_by_path a
+    ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account""",
     "x_asset_file", "asset_by_path",
 )
 
@@ -787,7 +789,8 @@ oracle(
     edge_sql(
         "product_id", "target", "DataAsset", "Related",
         """(SELECT p.id AS product_id, a.description, CASE WHEN a.description IS NOT NULL THEN a.asset_id END AS target
-        FROM x_asset_file f JOIN x_products p ON p.name = f.dp_name LEFT JOIN usable_assets a ON a.fqn = f.data_asset_fqn)""",
+        FROM x_asset_file f JOIN x_products p ON p.name = f.dp_name LEFT JOIN usable_assets a
+        ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account)""",
         "description",
     ),
     "x_asset_file", "x_products", "usable_assets",

@@ -108,7 +108,7 @@ CATALOG_LISTS = {
     "terms_full": _texts("id", "name", "domain", "description", "contacts", "status"),
     "cdes": _texts("name", "domain", "dataType", "status", "id"),
     "okrs": _texts("id", "definition", "status", "domain"),
-    "search_hits": _texts("id", "qualifiedName", "objectType"),
+    "search_hits": _texts("id", "qualifiedName", "objectType", "account"),
     "policies": _texts("id", "name"),
     "users": _texts("mail", "id"),
 }

@@ -90,3 +90,38 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM digests LEFT JOIN firsts USING (digest)
 """
+
+ORACLES["op5_substring_dedup"] = rf"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs)),
+firsts AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (h) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+kept AS (
+  SELECT doc_id, count(gone.p) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL), '') AS text
+  FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op3_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
+  FROM documents),
+classes AS (SELECT row_number() OVER () AS c, w, id, n FROM (SELECT w, min(doc_id) AS id, count(*) AS n FROM docs GROUP BY w)),
+grams AS (
+  SELECT DISTINCT c, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT c, w, unnest(range(1, len(w) - 3)) AS i FROM classes)),
+sizes AS (SELECT c, count(*) AS n FROM grams GROUP BY c),
+pairs AS (SELECT a.c AS a, b.c AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.c <> b.c GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.c = a JOIN sizes y ON y.c = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+heads AS (SELECT a AS c, min(id) AS class_id FROM reach JOIN classes ON classes.c = reach.b GROUP BY a),
+degrees AS (SELECT a AS c, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, class_id, n - 1 AS n_copies, coalesce(n_links, 0) AS n_links
+FROM docs JOIN classes ON docs.w = classes.w JOIN heads USING (c) LEFT JOIN degrees USING (c)
+"""

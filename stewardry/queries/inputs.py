@@ -48,10 +48,16 @@ def mail(number: str) -> str:
     return f"({numbered('Supplier', number)} || '@example.org')"
 
 
+# Keys of each table that share an owner: half as many owners again as there are
+# people, so that the pool grows with the tables and some stay unknown.
+PER_OWNER = {"c_custkey": 10, "o_orderkey": 400, "p_partkey": 13}
+
+
 def owner_cell(key: str) -> str:
     """One, two or three addresses: with a blank, an empty part, a repeat,
     unknown people, or nothing at all."""
-    a, b = mail(f"({key}) % 120"), mail(f"(({key}) * 13 + 5) % 120")
+    per = PER_OWNER[key.split(" ")[0]]
+    a, b = mail(whole(f"({key}) / {per}")), mail(whole(f"({key}) / {3 * per}"))
     return (
         f"CASE ({key}) % 6 WHEN 0 THEN {a} WHEN 1 THEN {a} || ',' || {b} "
         f"WHEN 2 THEN {a} || ', ' || {b} WHEN 3 THEN {a} || ',,' || {b} "
@@ -59,6 +65,12 @@ def owner_cell(key: str) -> str:
     )
 
 
+def only_some(condition: str, name: str) -> str:
+    """A name that the files use where ``condition`` holds, and elsewhere one
+    that they don't, so that a catalog is scanned whole and still lacks some."""
+    return f"CASE WHEN {condition} THEN {name} ELSE 'Only here ' || {name} END"
+
+
 def fqn(key: str) -> str:
     k = text(key)
     return (
@@ -109,7 +121,7 @@ def _tree(domain: str) -> dict[str, str]:
 
 INPUTS: dict[str, list[Branch]] = {
     "domains": [
-        Branch("customer", {"id": f"'dom-' || {text(K)}", "name": "c_name", "type": "'FunctionalUnit'", "_row": K}, f"{K} % 3 = 0"),
+        Branch("customer", {"id": f"'dom-' || {text(K)}", "name": only_some(f"{K} % 3 = 0", "c_name"), "type": "'FunctionalUnit'", "_row": K}),
         Branch(
             "customer",
             {"id": f"'dom-dup-' || {text(K)}", "name": "c_name", "type": "'LineOfBusiness'", "_row": f"{BILLION} + {K}"},
@@ -119,11 +131,10 @@ INPUTS: dict[str, list[Branch]] = {
             "part",
             {
                 "id": "'dom-' || p_brand",
-                "name": "p_brand",
+                "name": only_some("p_brand <> 'Brand#13'", "p_brand"),
                 "type": "'DataDomain'",
                 "_row": f"{2 * BILLION} + cast(substr(p_brand, 7) as bigint)",
             },
-            "p_brand <> 'Brand#13'",
             distinct=True,
         ),
     ],
@@ -185,27 +196,36 @@ INPUTS: dict[str, list[Branch]] = {
             "customer",
             {
                 "id": f"'trm-1-' || {text(K)}",
-                "name": "c_name",
+                "name": only_some(f"{K} % 3 = 0", "c_name"),
                 "domain": "'dom-Brand#1'",
                 "parentId": f"CASE WHEN {K} >= 10 THEN 'trm-1-' || {text(whole(f'{K} / 4'))} END",
                 "_row": K,
             },
-            f"{K} % 3 = 0",
         ),
         Branch(
             "customer",
-            {"id": f"'trm-2-' || {text(K)}", "name": "c_name", "domain": "'dom-Brand#2'", "parentId": NO_TEXT, "_row": f"{BILLION} + {K}"},
-            f"{K} % 6 = 0",
+            {
+                "id": f"'trm-2-' || {text(K)}",
+                "name": only_some(f"{K} % 6 = 0", "c_name"),
+                "domain": "'dom-Brand#2'",
+                "parentId": NO_TEXT,
+                "_row": f"{BILLION} + {K}",
+            },
         ),
         Branch(
             "part",
-            {"id": f"'trm-p-' || {text(P)}", "name": "p_name", "domain": "'dom-' || p_brand", "parentId": NO_TEXT, "_row": f"{2 * BILLION} + {P}"},
-            f"{P} % 3 = 0",
+            {
+                "id": f"'trm-p-' || {text(P)}",
+                "name": only_some(f"{P} % 3 = 0", "p_name"),
+                "domain": "'dom-' || p_brand",
+                "parentId": NO_TEXT,
+                "_row": f"{2 * BILLION} + {P}",
+            },
         ),
     ],
     "terms_by_name": [
-        Branch("customer", {"ID": f"'trm-1-' || {text(K)}", "Name": "c_name"}, f"{K} % 3 = 0"),
-        Branch("customer", {"ID": f"'trm-2-' || {text(K)}", "Name": "c_name"}, f"{K} % 6 = 0"),
+        Branch("customer", {"ID": f"'trm-1-' || {text(K)}", "Name": only_some(f"{K} % 3 = 0", "c_name")}),
+        Branch("customer", {"ID": f"'trm-2-' || {text(K)}", "Name": only_some(f"{K} % 6 = 0", "c_name")}),
     ],
     "products": [
         Branch("supplier", {"id": f"'dp-' || {text(S)}", "name": "s_name", "type": "'Dataset'", "_row": S}),
@@ -249,12 +269,11 @@ INPUTS: dict[str, list[Branch]] = {
             "orders",
             {
                 "id": f"'okr-' || {text(O)}",
-                "definition": f"o_orderpriority || '-' || {text(f'{O} - {O} % 3')}",
+                "definition": only_some(f"{O} % 4 = 0", f"o_orderpriority || '-' || {text(f'{O} - {O} % 3')}"),
                 "status": "o_orderstatus",
                 "domain": f"'dom-' || {ORDER_DOMAIN}",
                 "_row": O,
             },
-            f"{O} % 4 = 0",
         )
     ],
     "cde_file": [
@@ -277,14 +296,13 @@ INPUTS: dict[str, list[Branch]] = {
         Branch(
             "orders",
             {
-                "name": f"'Element ' || {text(whole(f'{O} / 2'))}",
+                "name": only_some(f"{O} % 6 = 0", f"'Element ' || {text(whole(f'{O} / 2'))}"),
                 "domain": f"'dom-' || {ORDER_DOMAIN}",
                 "dataType": "'Text'",
                 "status": "o_orderstatus",
                 "id": f"'cde-' || {text(O)}",
                 "_row": O,
             },
-            f"{O} % 6 = 0",
         )
     ],
     "hits": [
@@ -329,11 +347,10 @@ INPUTS: dict[str, list[Branch]] = {
                 "id": f"'ast-' || {text(O)}",
                 "name": f"'Order ' || {text(O)}",
                 "type": "'General'",
-                "dataMapAssetId": f"'g-' || {text(O)}",
+                "dataMapAssetId": only_some(f"{O} % 4 = 1", f"'g-' || {text(O)}"),
                 "description": f"CASE WHEN {O} % 8 = 1 THEN null ELSE 'kept ' || {text(O)} END",
                 "_row": O,
             },
-            f"{O} % 4 = 1",
         )
     ],
     "asset_file": [

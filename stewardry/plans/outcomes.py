@@ -33,6 +33,22 @@ def owner_failures(rows: DataFrame, concept: str, key: str, unknown: str) -> Dat
     )
 
 
+def outcomes_and_owners(plan: DataFrame, concept: str, key: str, unknown: str) -> DataFrame:
+    """:func:`outcomes` and :func:`owner_failures` together, from one pass over
+    the plan; the owners' concept is ``<concept>_owner``."""
+    own = F.struct(F.lit(concept).alias("concept"), F.col(key).alias("key"), "outcome", "error")
+    failures = F.transform(
+        unknown,
+        lambda _: F.struct(
+            F.lit(f"{concept}_owner").alias("concept"),
+            F.col(key).alias("key"),
+            F.lit(FAILED).alias("outcome"),
+            F.lit(BAD_USER).alias("error"),
+        ),
+    )
+    return plan.select(F.explode(F.concat(F.array(own), failures)).alias("_one")).select("_one.*")
+
+
 def report(*tables: DataFrame) -> DataFrame:
     """Rows per concept and outcome."""
     rows = reduce(DataFrame.unionByName, [t.select("concept", "outcome") for t in tables])

@@ -598,12 +598,16 @@ def edges_cde(spark, sf):
     return edges.planned(edges.cde_edges(_cde_columns(spark, sf)))
 
 
-@query
-def edges_asset(spark, sf):
+def _planned_assets(spark, sf):
     file = load(spark, sf, "asset_file").withColumnsRenamed(
         {"data_asset_fqn": "fqn", "data_asset_account": "account"}
     )
-    planned = assets.plan_assets(file, _plan_paths(spark, sf, file))
+    return assets.plan_assets(file, _plan_paths(spark, sf, file))
+
+
+@query
+def edges_asset(spark, sf):
+    planned = _planned_assets(spark, sf)
     return _edges(edges.asset_edges(edges.with_products(planned, load(spark, sf, "products"))))
 
 
@@ -625,17 +629,48 @@ def classify_outcomes(spark, sf):
     return outcomes.classify(load(spark, sf, "answers")).select("event_id", "operation", "code", "outcome")
 
 
+def _main_outcomes(spark, sf):
+    return [
+        outcomes.outcomes(_plan_domains(spark, sf), "domain", "name"),
+        outcomes.outcomes(_plan_products(spark, sf), "product", "name"),
+        outcomes.outcomes_and_owners(_plan_okrs(spark, sf), "okr", "definition", "unknown_owners"),
+    ]
+
+
 @query
 def load_report(spark, sf):
-    plan = _plan_okrs(spark, sf)
+    return outcomes.report(*_main_outcomes(spark, sf))
+
+
+@query
+def load_report_full(spark, sf):
+    """All concepts of a load and its edges."""
+    terms_file = [load(spark, sf, n) for n in ("term_file", "domains", "terms", "users")]
+    elements = _plan_cdes(spark, sf).withColumnRenamed("action", "outcome")
+    planned = _planned_assets(spark, sf)
+    resolved = _resolved(spark, sf)
+    with_product = terms.with_product(resolved, load(spark, sf, "products"))
+    edge_tables = {
+        "synonym": edges.synonym_edges(resolved),
+        "related": edges.related_edges(resolved),
+        "term_product": edges.product_edges(with_product),
+        "product_asset": edges.asset_edges(edges.with_products(planned, load(spark, sf, "products"))),
+    }
     return outcomes.report(
-        outcomes.outcomes(_plan_domains(spark, sf), "domain", "name"),
-        outcomes.outcomes(_plan_products(spark, sf), "product", "name"),
-        outcomes.outcomes(plan, "okr", "definition"),
-        outcomes.owner_failures(plan, "okr_owner", "definition", "unknown_owners"),
+        *_main_outcomes(spark, sf),
+        outcomes.outcomes(terms.plan_terms(*terms_file), "term", "name"),
+        outcomes.outcomes(elements, "cde", "name"),
+        outcomes.outcomes(planned, "asset", "fqn"),
+        *[t.withColumn("concept", F.lit(name)) for name, t in edge_tables.items()],
     )
 
 
+@query
+def outcome_names(spark, sf):
+    told = outcomes.outcomes(_plan_products(spark, sf), "product", "name")
+    return outcomes.names(told, "product", outcomes.CREATED)
+
+
 @query
 def next_snapshot(spark, sf):
     catalog = load(spark, sf, "products").select("id", "name", "type")

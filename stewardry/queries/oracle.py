@@ -768,13 +768,17 @@ def edge_sql(source: str, target: str, entity: str, relation: str, rows: str, de
 
 
 TERM_ID = f"coalesce(own_id, {new_id('term', 'domain_id', NAME)})"
+TERM_PRODUCTS = "(SELECT t.*, p.id AS product_id FROM r_terms t LEFT JOIN x_products p ON p.name = t.glossary_term_data_product)"
+PRODUCT_ASSETS = """(SELECT p.id AS product_id, a.description, CASE WHEN a.description IS NOT NULL THEN a.asset_id END AS target
+        FROM x_asset_file f JOIN x_products p ON p.name = f.dp_name LEFT JOIN usable_assets a
+        ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account)"""
 oracle("edges_synonym", edge_sql(TERM_ID, "synonyms_uuid", "Term", "Synonym", "r_terms"), "r_terms")
 oracle("edges_related", edge_sql(TERM_ID, "related_uuid", "Term", "related", "r_terms"), "r_terms")
 oracle(
     "edges_product",
     edge_sql(
         TERM_ID, "product_id", "DataProduct", "related",
-        "(SELECT t.*, p.id AS product_id FROM r_terms t LEFT JOIN x_products p ON p.name = t.glossary_term_data_product)",
+        TERM_PRODUCTS,
     ),
     "r_terms", "x_products",
 )
@@ -788,9 +792,7 @@ oracle(
     "edges_asset",
     edge_sql(
         "product_id", "target", "DataAsset", "Related",
-        """(SELECT p.id AS product_id, a.description, CASE WHEN a.description IS NOT NULL THEN a.asset_id END AS target
-        FROM x_asset_file f JOIN x_products p ON p.name = f.dp_name LEFT JOIN usable_assets a
-        ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account)""",
+        PRODUCT_ASSETS,
         "description",
     ),
     "x_asset_file", "x_products", "usable_assets",
@@ -848,6 +850,28 @@ oracle(
     GROUP BY concept, outcome""",
     "r_domains", "c_products", "r_okrs", "o_okrs",
 )
+EDGES = {
+    "synonym": edge_sql(TERM_ID, "synonyms_uuid", "Term", "Synonym", "r_terms"),
+    "related": edge_sql(TERM_ID, "related_uuid", "Term", "related", "r_terms"),
+    "term_product": edge_sql(TERM_ID, "product_id", "DataProduct", "related", TERM_PRODUCTS),
+    "product_asset": edge_sql("product_id", "target", "DataAsset", "Related", PRODUCT_ASSETS, "description"),
+}
+oracle(
+    "load_report_full",
+    f"""SELECT concept, outcome, count(*) AS rows FROM (
+      SELECT 'domain' AS concept, outcome FROM r_domains UNION ALL SELECT 'product', outcome FROM c_products
+      UNION ALL SELECT 'okr', outcome FROM r_okrs
+      UNION ALL SELECT 'okr_owner', 'failed' FROM (
+        SELECT unnest(o.bad) FROM r_okrs r JOIN o_okrs o ON o.cell = r.owner WHERE r.error IS NULL)
+      UNION ALL SELECT 'term', CASE WHEN domain_id IS NULL THEN 'failed' WHEN own_id IS NOT NULL THEN 'existing' ELSE 'created' END FROM p_terms
+      UNION ALL SELECT 'cde', action FROM r_cdes
+      UNION ALL SELECT 'asset', CASE WHEN a.kept_id IS NOT NULL THEN 'reuse' WHEN a.guid IS NOT NULL THEN coalesce(a.built, 'failed') ELSE 'failed' END
+        FROM x_asset_file f LEFT JOIN asset_by_path a ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account
+      {" ".join(f"UNION ALL SELECT '{name}', outcome FROM ({sql})" for name, sql in EDGES.items())})
+    GROUP BY concept, outcome""",
+    "r_domains", "c_products", "r_okrs", "o_okrs", "p_terms", "r_cdes", "x_asset_file", "asset_by_path", "r_terms", "x_products", "usable_assets",
+)
+oracle("outcome_names", "SELECT dp_name AS key FROM c_products WHERE outcome = 'created'", "c_products")
 oracle(
     "next_snapshot",
     f"""SELECT id, name, type FROM x_products UNION ALL

@@ -11,7 +11,7 @@ from pathlib import Path
 
 import stewardry
 from pyspark.sql import DataFrame, SparkSession
-from stewardry.session import shared_folder, tune
+from stewardry.session import remove, shared_folder, tune
 
 # Rows handed to Python at once. Texts may be long, so batches are kept small.
 BATCH_ROWS = 256
@@ -44,9 +44,23 @@ def _ship(spark: SparkSession, root: str) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
+_made: dict[str, list[str]] = {}
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the folder of ``spark.checkpoint.dir``."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all folders made here by this application, archives and shards too.
+
+    Results read them when they run, so write results elsewhere first.
+    """
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:

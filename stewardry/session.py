@@ -68,3 +68,20 @@ def stage(rows: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return rows.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def close(spark: SparkSession) -> None:
+    """Remove what :func:`stage` has written in this application.
+
+    The last step of a load, once its results are written: tables that were
+    staged can't be read any more, and new ones can be staged.
+    """
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        remove(spark, folder)

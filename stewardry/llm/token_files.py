@@ -35,12 +35,13 @@ from stewardry.llm.texts import mix
 MAGIC = b"IDX1"
 SHARD_BYTES = 256 << 20
 # Keys of one index file, about.
-BUCKET_KEYS = 16_000
+BUCKET_KEYS = 4_000
 # Bits per key of a level; more bits settle more keys at once.
 LOAD = 2
-MOST_KEPT = 250_000
-# A blank before anything but white space starts a new word in every text.
+# Pieces of text whose ids a task keeps, about 200 bytes each.
+MOST_KEPT = 800_000
 CUT = re.compile(r" (?=\S)")
+STEM = re.compile(r"([A-Za-z]+)([.,!?;:\n].*)", re.DOTALL)
 
 SLOT = np.dtype(
     [("fingerprint", "<u4"), ("shard", "<i4"), ("offset", "<i8"), ("start", "<i8"), ("n_tokens", "<i8")]
@@ -48,31 +49,72 @@ SLOT = np.dtype(
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, which sees each piece of text
-    between two blanks once and then again only when it was forgotten."""
+    """Ids of texts by the tokenizers library, for a byte-level vocabulary file.
+
+    A blank before anything but white space starts a word of the tokenizer, and
+    so does a stop after a letter, so the ids of a text are those of its pieces
+    between such places. The library encodes a piece when it is met first; its
+    ids are kept, up to a bounded number of pieces. New pieces go to the library
+    as one text, and the byte lengths of their ids tell where each ends.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        size = max(self.library.get_vocab_size(with_added_tokens=True), end_id + 1)
+        names = self.library.get_vocab(with_added_tokens=True)
+        size = max(max(names.values()), end_id) + 1
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
+        # A byte-level token has a character for each of its bytes.
+        self.lengths = np.zeros(size, np.int64)
+        for name, i in names.items():
+            self.lengths[i] = len(name)
+        # Ids of pieces, by the piece without the blank that stands before it.
         self.kept: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            first, *rest = CUT.split(text)
-            cut.append([first, *[" " + p for p in rest]])
+        cut = [CUT.split(text) for text in texts]
+        firsts = [self._ids(e.ids) for e in self.library.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)]
         kept = self.kept
-        new = list({p for pieces in cut for p in pieces if p not in kept})
+        new = {p for pieces in cut for p in pieces[1:] if p not in kept}
         if len(kept) + len(new) > MOST_KEPT:
             kept.clear()
-            new = list({p for pieces in cut for p in pieces})
-        found = self.library.encode_batch_fast(new, add_special_tokens=False)
-        kept.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(new, found))
-        return [b"".join(map(kept.__getitem__, pieces)) + self.end for pieces in cut]
+            new = {p for pieces in cut for p in pieces[1:]}
+        self._learn(new)
+        get = kept.__getitem__
+        return [b"".join([first, *map(get, pieces[1:]), self.end]) for first, pieces in zip(firsts, cut)]
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        stems, tails, split = set(), set(), []
+        kept = self.kept
+        for piece in pieces:
+            found = STEM.match(piece)
+            if found:
+                stem, tail = found.groups()
+                split.append((piece, stem, tail))
+                tails.add(tail)
+            else:
+                stem = piece
+            if stem not in kept:
+                stems.add(stem)
+        stems = list(stems)
+        sizes = [len(s.encode("utf-8", "surrogatepass")) + 1 for s in stems]
+        ids = self.library.encode_batch_fast(["".join(" " + s for s in stems)], add_special_tokens=False)[0].ids
+        ids = np.array(ids, np.int64)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1 if stems else []
+        packed, width, at = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
+        for stem, end in zip(stems, np.asarray(ends).tolist()):
+            kept[stem] = packed[at * width : end * width]
+            at = end
+        tails = list(tails)
+        found = self.library.encode_batch_fast(tails, add_special_tokens=False)
+        tail_ids = {t: self._ids(e.ids) for t, e in zip(tails, found)}
+        for piece, stem, tail in split:
+            kept[piece] = kept[stem] + tail_ids[tail]
 
 
 @lru_cache(maxsize=2)

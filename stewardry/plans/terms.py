@@ -41,17 +41,31 @@ def term_facts(rows: DataFrame, terms: DataFrame, name: str) -> DataFrame:
 def resolve_ids(rows: DataFrame, domains: DataFrame, terms: DataFrame) -> DataFrame:
     """Add ids of domain, parent, synonym, related term and the term itself.
 
-    Synonym and related term are looked for in domains of their own.
+    Synonym and related term are looked for in domains of their own. All four
+    lookups run as one, over narrow rows of a name and a domain's name each; the
+    ids come back to the wide row in one join. Nameless domains match nothing.
     """
-    rows = domain_id(rows, domains, DOMAIN, DOMAIN_ID)
-    rows = term_id(rows, terms, PARENT, DOMAIN_ID, "glossary_term_parent_term_uuid")
-    for other in ("synonyms", "related"):
-        rows = domain_id(rows, domains, f"glossary_term_{other}_domain", f"_{other}_domain")
-        rows = term_id(
-            rows, terms, f"glossary_term_{other}", f"_{other}_domain", f"glossary_term_{other}_uuid"
-        )
-        rows = rows.drop(f"_{other}_domain")
-    return term_id(rows, terms, NAME, DOMAIN_ID, "glossary_term_name_uuid")
+    lookups = {
+        "parent_term": (PARENT, DOMAIN),
+        "synonyms": ("glossary_term_synonyms", "glossary_term_synonyms_domain"),
+        "related": ("glossary_term_related", "glossary_term_related_domain"),
+        "name": (NAME, DOMAIN),
+    }
+    each = [
+        F.struct(F.lit(role).alias("role"), F.col(name).alias("name"), F.col(domain).alias("domain_name"))
+        for role, (name, domain) in lookups.items()
+    ]
+    narrow = rows.select(ROW, F.explode(F.array(*each)).alias("_one")).select(ROW, "_one.*")
+    narrow = domain_id(narrow.where("domain_name IS NOT NULL"), domains, "domain_name", "domain_id")
+    found = term_id(narrow, terms, "name", "domain_id", "term_id")
+    ids = found.groupBy(F.col(ROW).alias("_of")).agg(
+        F.max(F.when(F.col("role") == "name", F.col("domain_id"))).alias(DOMAIN_ID),
+        *[
+            F.max(F.when(F.col("role") == role, F.col("term_id"))).alias(f"glossary_term_{role}_uuid")
+            for role in lookups
+        ],
+    )
+    return rows.join(ids, F.col(ROW) == F.col("_of"), "left").drop("_of")
 
 
 def with_product(rows: DataFrame, products: DataFrame) -> DataFrame:

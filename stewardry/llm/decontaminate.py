@@ -18,6 +18,7 @@ before any walk without losing one.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -264,8 +265,6 @@ def _searcher(shared) -> Searcher:
 
 def blocks(benchmark: DataFrame, text: str, key: str, part: float, recall: float) -> list:
     """The items as broadcasts of bounded size, however many there are."""
-    import uuid
-
     items = benchmark.select(key, text).where(F.col(text).isNotNull())
     count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     n = max(1, math.ceil(max(count / BLOCK_ITEMS, size / BLOCK_BYTES)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stewardry.llm.staging import hidden, staged
@@ -113,23 +113,23 @@ def host_rates(failures: DataFrame, host: str, rules: list[str]) -> DataFrame:
         *[F.sum(F.col(f"fails_{r}").cast("long")).alias(f"n_{r}") for r in rules],
     )
     share = lambda r: F.col(f"n_{r}") / F.col("n_documents")
-    moments = counted.agg(
-        F.sum("n_documents").alias("_all"),
-        F.count(F.lit(1)).alias("_hosts"),
-        *[F.sum(f"n_{r}").alias(f"_sum_{r}") for r in rules],
-        *[F.sum(F.col(f"n_{r}") * share(r)).alias(f"_squares_{r}") for r in rules],
-    )
-    # One row of fixed width against the hosts.
-    rows = counted.join(F.broadcast(moments))
-    out = {}
+    # One row of sums, whatever the number of hosts.
+    total = counted.agg(
+        F.sum("n_documents").alias("documents"),
+        F.count(F.lit(1)).alias("hosts"),
+        *[F.sum(f"n_{r}").alias(f"sum_{r}") for r in rules],
+        *[F.sum(F.col(f"n_{r}") * share(r)).alias(f"squares_{r}") for r in rules],
+    ).first()
+    n = total["documents"] or 1
+    rates = []
     for r in rules:
-        mean = F.col(f"_sum_{r}") / F.col("_all")
+        mean = (total[f"sum_{r}"] or 0) / n
         chance = mean * (1 - mean)
-        between = F.col(f"_squares_{r}") / F.col("_all") - mean * mean - chance * F.col("_hosts") / F.col("_all")
-        strength = F.greatest(chance / between - 1, F.lit(0.0))
+        between = (total[f"squares_{r}"] or 0) / n - mean * mean - chance * total["hosts"] / n
+        strength = max(chance / between - 1, 0) if between > 0 else 0
         shrunk = (F.col(f"n_{r}") + mean * strength) / (F.col("n_documents") + strength)
-        out[f"rate_{r}"] = F.when(between > 0, shrunk).otherwise(mean)
-    return rows.select(host, "n_documents", *[v.alias(k) for k, v in out.items()])
+        rates.append((shrunk if between > 0 else F.lit(float(mean))).alias(f"rate_{r}"))
+    return counted.select(host, "n_documents", *rates)
 
 
 def judge(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stewardry.operators.lookup import ROW, all_of
+from stewardry.operators.lookup import all_of
 from stewardry.session import stage
 
 

@@ -48,11 +48,76 @@ def joined(column: str) -> F.Column:
 # Scans
 
 
+def _scanned(spark, sf, kind, name):
+    path = f"{shared_folder(spark)}/concepts-{uuid.uuid4()}"
+    concept_files.write_concepts(load(spark, sf, name).drop(ROW), path)
+    return concept_files.read_concepts(spark, kind, path).drop(ROW)
+
+
 @query
 def scan_concepts(spark, sf):
-    path = f"{shared_folder(spark)}/concepts-{uuid.uuid4()}"
-    concept_files.write_concepts(load(spark, sf, "term_file").drop(ROW), path)
-    return concept_files.read_concepts(spark, "glossary_terms", path).drop(ROW)
+    return _scanned(spark, sf, "glossary_terms", "term_file")
+
+
+@query
+def scan_domains(spark, sf):
+    return _scanned(spark, sf, "business_domains", "domain_file")
+
+
+@query
+def scan_products(spark, sf):
+    return _scanned(spark, sf, "data_product", "product_file")
+
+
+@query
+def scan_assets(spark, sf):
+    return _scanned(spark, sf, "data_assets", "asset_file")
+
+
+@query
+def scan_okrs(spark, sf):
+    return _scanned(spark, sf, "okr", "okr_file")
+
+
+@query
+def scan_cdes(spark, sf):
+    return _scanned(spark, sf, "cde", "cde_file")
+
+
+def _listed_in_files(spark, rows, kind, array="value"):
+    """Rows written as list documents, a file each, and read back in list order."""
+    path = f"{shared_folder(spark)}/lists-{uuid.uuid4()}"
+    pages = inputs.list_pages(rows, ROW, array).select("page", "document")
+    pages.write.partitionBy("page").text(path)
+    listed = snapshots.catalog_list(snapshots.read_documents(spark, path), kind)
+    numbered = snapshots.numbered(listed, F.col("page"), F.col("_pos"))
+    return numbered.select(*rows.drop(ROW).columns, "page", F.col(f"{ROW}._pos").cast("long").alias("place"))
+
+
+@query
+def list_policies(spark, sf):
+    number = F.substring_index("id", "-", -1).cast("long")
+    rows = load(spark, sf, "policies").select(number.alias(ROW), "id", "name")
+    return _listed_in_files(spark, rows, "policies", "values")
+
+
+@query
+def list_users(spark, sf):
+    return _listed_in_files(spark, load(spark, sf, "users").select(ROW, "mail", "id"), "users")
+
+
+@query
+def list_hits(spark, sf):
+    return _list(spark, sf, "hits", "search_hits", ["id", "qualifiedName", "objectType", "account"]).select(
+        "id", "qualifiedName", "objectType", "account"
+    )
+
+
+@query
+def list_okrs(spark, sf):
+    return _list(spark, sf, "okrs", "okrs", ["id", "definition", "status", "domain"]).select(
+        "id", "definition", "status", "domain"
+    )
 
 
 def _list(spark, sf, name, kind, fields):

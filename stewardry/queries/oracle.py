@@ -455,6 +455,22 @@ def some_domains(source: str) -> str:
 
 
 oracle("scan_concepts", "SELECT * EXCLUDE (_row) FROM x_term_file", "x_term_file")
+for scan, file in {"domains": "domain", "products": "product", "assets": "asset", "okrs": "okr", "cdes": "cde"}.items():
+    oracle(f"scan_{scan}", f"SELECT * EXCLUDE (_row) FROM x_{file}_file", f"x_{file}_file")
+
+
+def listed(columns: str, source: str, key: str, order: str) -> str:
+    """Rows with the page and the place on it that a list of 50 keys a page gives."""
+    return (
+        f"SELECT {columns}, cast(floor({key} / 50) AS bigint) AS page, "
+        f"row_number() OVER (PARTITION BY floor({key} / 50) ORDER BY {key}, {order}) - 1 AS place FROM {source}"
+    )
+
+
+oracle("list_policies", listed("id, name", "x_policies", "cast(split_part(id, '-', 3) AS bigint)", "id"), "x_policies")
+oracle("list_users", listed("mail, id", "x_users", "_row", "id"), "x_users")
+oracle("list_hits", "SELECT id, qualifiedName, objectType, account FROM x_hits", "x_hits")
+oracle("list_okrs", "SELECT id, definition, status, domain FROM x_okrs", "x_okrs")
 oracle("catalog_domains", some_domains("x_domains"), "x_domains")
 oracle("catalog_assets", some_domains("x_assets"), "x_assets")
 oracle("catalog_products", some_domains("x_products"), "x_products")

@@ -22,13 +22,16 @@ JSON_PARTS = {
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON document file under ``path``: ``document``, ``page``.
 
-    ``page`` is the last number in the file's name, so page 10 comes after page
-    2. A file without a number has no place in the list and fails the read.
+    ``page`` is the number of a folder ``page=…`` or else the last number in the
+    file's name, so page 10 comes after page 2. A file without a number has no
+    place in the list and fails the read.
     """
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]+)[^0-9/]*$", 1)
     unplaced = F.raise_error(F.concat(F.lit("no page number in "), F.col("_metadata.file_path")))
     page = F.when(name == "", unplaced).otherwise(name).cast("long")
-    return spark.read.text(path, wholetext=True).select(F.col("value").alias("document"), page.alias("page"))
+    files = spark.read.text(path, wholetext=True)
+    page = F.col("page").cast("long") if "page" in files.columns else page
+    return files.select(F.col("value").alias("document"), page.alias("page"))
 
 
 def catalog_list(pages: DataFrame, kind: str, document: str = "document") -> DataFrame:

@@ -145,13 +145,19 @@ def sample(
     """
     known = labels.where(F.col(label).isNotNull() & usable).select(F.col(key).alias("_key"), F.col(label).alias("_label")).distinct()
     counts = {r["_label"]: r["count"] for r in known.where("_label IN (0, 1)").groupBy("_label").count().collect()}
-    short = documents.where(F.octet_length(text) <= SAMPLE_BYTES).select(F.col(key).alias("_doc"), F.col(text).alias("_text"))
-    rows = short.join(known, F.col("_doc") == F.col("_key"))
+    # Keys are chosen from narrow rows; only the chosen texts move, and the
+    # chosen keys, which the bound keeps few, are sent to where the texts are.
+    short = documents.where(F.octet_length(text) <= SAMPLE_BYTES)
+    rows = short.select(F.col(key).alias("_doc")).join(known, F.col("_doc") == F.col("_key")).select("_key", "_label").distinct()
     out = []
     for value in (0, 1):
-        order = [F.xxhash64("_key"), F.col("_key"), F.col("_text")]
-        chosen = rows.where(F.col("_label") == value).orderBy(*order).limit(SAMPLE_TEXTS)
-        out += [(r["_text"].encode("utf-8", "replace"), value) for r in chosen.select("_text").collect()]
+        chosen = rows.where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_TEXTS)
+        texts = short.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).join(
+            F.broadcast(chosen), F.col("_doc") == F.col("_key")
+        )
+        # A key that is there twice gives one text.
+        texts = texts.groupBy("_key").agg(F.min("_text").alias("_text")).orderBy("_key")
+        out += [(r["_text"].encode("utf-8", "replace"), value) for r in texts.select("_text").collect()]
     return out, counts
 
 

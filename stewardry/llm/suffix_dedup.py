@@ -122,7 +122,7 @@ def sorted_runs(pieces: DataFrame, width: int) -> DataFrame:
     dealt = pieces.repartition("grp").sortWithinPartitions("grp", "content", "base")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, out = [], 0, []
+        held, size = [], 0
         for _, rows in groups(batches, "grp"):
             anchors, contents, bases = (rows.column(c).to_pylist() for c in ("anchor", "content", "base"))
             last = None
@@ -177,6 +177,8 @@ def repeated_spans(rows: DataFrame, width: int, gram: int) -> DataFrame:
         F.col("content").alias("_content"),
         F.when(F.col("times") > 1, whole).otherwise(F.col("runs")).alias("runs"),
     ).where("runs IS NOT NULL")
+    # Staged, so that the next join stands alone and its hot keys can be split.
+    told = staged(told, "told")
     found = units.select("v1", "v2", "anchor", "content", "low").join(told, same("_anchor", "_content"))
     found = found.select("v1", "v2", "low", F.explode("runs").alias("run"))
     return found.select("v1", "v2", (F.col("low") + F.col("run.start")).alias("start"), (F.col("low") + F.col("run.end")).alias("end"))

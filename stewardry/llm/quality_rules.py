@@ -155,7 +155,9 @@ def judge(
     renamed = facts.select(F.col(host), *[F.col(f"_fails_{r}").alias(f"fails_{r}") for r in RULES])
     rates = host_rates(renamed, host, list(RULES))
     bad = reduce(lambda a, b: a | b, [F.col(f"rate_{r}") > max_rate for r in RULES])
-    verdicts = rates.select(F.col(host).alias("_host"), bad.alias("host_failed"))
+    # Staged, so that the join knows the size of the hosts: where they are few,
+    # documents stay where they are, and no host's documents meet in one task.
+    verdicts = staged(rates.select(F.col(host).alias("_host"), bad.alias("host_failed")), "verdicts")
     rows = facts.join(verdicts, F.col(host).eqNullSafe(F.col("_host"))).drop("_host")
     rows = rows.withColumn("base_failed", F.col("_fails_base"))
     return rows.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed")).drop(*[f"_fails_{r}" for r in RULES])

@@ -53,13 +53,22 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Remove all folders made here by this application, archives and shards too.
+def made(spark: SparkSession) -> list[str]:
+    """The folders made here by this application so far."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
 
-    Results read them when they run, so write results elsewhere first.
+
+def release(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Remove folders made here by this application: all, or the given ones.
+
+    Archives and shards are among them. Results read these folders when they
+    run, so write results elsewhere first.
     """
-    for path in _made.pop(spark.sparkContext.applicationId, []):
-        remove(spark, path)
+    own = _made.get(spark.sparkContext.applicationId, [])
+    for path in made(spark) if folders is None else folders:
+        if path in own:
+            own.remove(path)
+            remove(spark, path)
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:

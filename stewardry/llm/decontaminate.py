@@ -8,8 +8,12 @@ small Hamming distance. The words met at a few sampled steps are a key, and plac
 that share a key of any of several walks with an item are candidates. Candidates
 are verified by exact edit distance over all starts and ends around them.
 
-The number of walks is not guessed: items get random edits up to the limit, and
-walks are added until the wanted part of these is found.
+The number of walks is not guessed: items get random edits up to the limit and
+random words around them, and walks are added until the wanted part of these is
+found. A class of items that never gets there is an error.
+
+A walk over a long item seldom stays with an edited copy, so long items are sought
+by pieces: were every piece of a copy over its own limit, the item would be too.
 
 Words that no item has are edits wherever they stand, which rules out most places
 before any walk without losing one.
@@ -33,7 +37,10 @@ from stewardry.llm.texts import U64, mix, plain_word_hashes, texts_of
 MOST_EDITS = 0.2
 RECALL = 0.98
 SAMPLES = 3
-MOST_WALKS = 64
+# Walks after which a class fails; the usual limit of edits needs some dozen.
+MOST_WALKS = 4096
+# Items of more words are sought by pieces of about equal length.
+PIECE_WORDS = 64
 # An item is embedded from its first word and the next ones, which are the first
 # to match when those before are edited.
 OFFSETS = 4
@@ -63,7 +70,7 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, walk: int, steps: list[int]
 
 
 class LengthClass:
-    """Items of about one length, and the tables of their keys."""
+    """Items, or pieces of items, of about one length, and the tables of their keys."""
 
     def __init__(self, items: list[np.ndarray], numbers: list[int], part: float, recall: float, seed: int):
         self.items, self.numbers = items, numbers
@@ -74,26 +81,28 @@ class LengthClass:
         draw = np.random.default_rng([seed, self.lengths[0]])
         span = max(SAMPLES, int(1.5 * self.lengths[0]))
         count = min(SAMPLES, span)
-        plans = [sorted(draw.choice(span, count, replace=False).tolist()) for _ in range(MOST_WALKS)]
-        trials = self._trials(draw)
+        words, trials = self._trials(np.random.default_rng([seed, self.lengths[0], 1]), span)
+        foreign = np.zeros(len(words) + 1, np.int64)
+        np.cumsum(~np.isin(words, np.concatenate(items)), out=foreign[1:])
+        starts = self.starts(words, foreign)
         missed, self.walks = np.ones(len(trials), bool), []
-        for walk, steps in enumerate(plans):
-            keys, owners, offsets = self._table(walk, steps)
-            self.walks.append((walk, steps, keys, owners, offsets))
-            for t in np.flatnonzero(missed):
-                item, words = trials[t]
-                found = walk_keys(words, np.arange(min(len(words), 2 * OFFSETS)), walk, steps)
-                own = keys[owners == item]
-                missed[t] = not np.isin(found, own).any()
-            if missed.mean() <= 1 - recall:
-                break
+        while missed.mean() > 1 - recall:
+            if len(self.walks) == MOST_WALKS:
+                raise ValueError(
+                    f"{MOST_WALKS} walks find {1 - missed.mean():.3f} of the edited items of {self.lengths[0]} words or more, not {recall}"
+                )
+            steps = sorted(draw.choice(span, count, replace=False).tolist())
+            self.walks.append((len(self.walks), steps, *self._table(len(self.walks), steps)))
+            self._mark(missed, trials, self._hits(self.walks[-1], words, starts))
 
     def edits(self, length: int) -> int:
         return int(self.part * length)
 
-    def _trials(self, draw) -> list[tuple[int, np.ndarray]]:
-        """Items with as many random edits as are allowed."""
-        out = []
+    def _trials(self, draw, around: int) -> tuple[np.ndarray, np.ndarray]:
+        """Items with as many random edits as are allowed, in one row of words with
+        random ones around each, and ``item, place, edits`` of each."""
+        random = lambda n: draw.integers(1, 2**63, n).tolist()
+        row, out = random(around), []
         for _ in range(TRIALS):
             i = int(draw.integers(len(self.items)))
             words = self.items[i].tolist()
@@ -102,17 +111,26 @@ class LengthClass:
                 new = int(draw.integers(1, 2**63))
                 words[at : at + (what != 0)] = [] if what == 1 else [new]
                 words = words or [new]
-            out.append((i, np.array(words, U64)))
-        return out
+            out.append((i, len(row), self.edits(len(self.items[i]))))
+            row += words + random(around)
+        return np.array(row, U64), np.array(out)
+
+    @staticmethod
+    def _mark(missed: np.ndarray, trials: np.ndarray, hits: np.ndarray) -> None:
+        """Trials are found where a hit is near enough to be verified."""
+        hits = hits[np.argsort(hits[:, 1], kind="stable")]
+        for t in np.flatnonzero(missed):
+            item, place, edits = trials[t].tolist()
+            low, high = np.searchsorted(hits[:, 1], [place - edits, place + edits + 1])
+            missed[t] = not (hits[low:high, 0] == item).any()
 
     def _table(self, walk: int, steps: list[int]):
-        keys, owners, offsets = [], [], []
-        for i, words in enumerate(self.items):
-            starts = np.arange(min(len(words), OFFSETS, self.edits(len(words)) + 1))
-            keys.append(walk_keys(words, starts, walk, steps))
-            owners.append(np.full(len(starts), i))
-            offsets.append(starts)
-        keys, owners, offsets = map(np.concatenate, (keys, owners, offsets))
+        filler = np.zeros(steps[-1] + 1, U64)
+        firsts = np.cumsum([0, *(len(i) + len(filler) for i in self.items)])
+        counts = np.array([min(len(i), OFFSETS, self.edits(len(i)) + 1) for i in self.items])
+        owners = np.repeat(np.arange(len(self.items)), counts)
+        offsets = np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)
+        keys = walk_keys(np.concatenate([part for i in self.items for part in (i, filler)]), firsts[owners] + offsets, walk, steps)
         order = np.argsort(keys, kind="stable")
         return keys[order], owners[order], offsets[order]
 
@@ -130,24 +148,30 @@ class LengthClass:
         near = foreign[np.minimum(ends, n)] - foreign[starts][:, None] <= self.allowed
         return starts[(near & (ends <= n)).any(axis=1)]
 
+    def starts(self, words: np.ndarray, foreign: np.ndarray) -> np.ndarray:
+        """Where walks begin: places and the next ones."""
+        starts = np.unique((self.places(foreign)[:, None] + np.arange(OFFSETS)).ravel())
+        return starts[starts < len(words)]
+
+    @staticmethod
+    def _hits(one: tuple, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """``item, place`` of the starts whose key of one walk an item has."""
+        walk, steps, keys, owners, offsets = one
+        found = walk_keys(words, starts, walk, steps)
+        low, high = np.searchsorted(keys, found), np.searchsorted(keys, found, "right")
+        hits = np.flatnonzero(high > low)
+        times = (high - low)[hits]
+        # Numbers of all equal keys of each hit, one after the other.
+        first = np.cumsum(times) - times
+        entry = np.arange(times.sum()) - np.repeat(first, times) + np.repeat(low[hits], times)
+        return np.stack([owners[entry], np.repeat(starts[hits], times) - offsets[entry]], axis=1)
+
     def candidates(self, words: np.ndarray, foreign: np.ndarray) -> np.ndarray:
         """``item, place`` of each window that shares a key with an item."""
-        starts = self.places(foreign)
+        starts = self.starts(words, foreign)
         if not len(starts):
             return np.zeros((0, 2), np.int64)
-        starts = np.unique((starts[:, None] + np.arange(OFFSETS)).ravel())
-        starts = starts[starts < len(words)]
-        pairs = [np.zeros((0, 2), np.int64)]
-        for walk, steps, keys, owners, offsets in self.walks:
-            found = walk_keys(words, starts, walk, steps)
-            low, high = np.searchsorted(keys, found), np.searchsorted(keys, found, "right")
-            hits = np.flatnonzero(high > low)
-            times = (high - low)[hits]
-            # Numbers of all equal keys of each hit, one after the other.
-            first = np.cumsum(times) - times
-            entry = np.arange(times.sum()) - np.repeat(first, times) + np.repeat(low[hits], times)
-            pairs.append(np.stack([owners[entry], np.repeat(starts[hits], times) - offsets[entry]], axis=1))
-        return np.unique(np.concatenate(pairs), axis=0)
+        return np.unique(np.concatenate([self._hits(one, words, starts) for one in self.walks]), axis=0)
 
 
 def least_edits(item: list[int], region: list[int]) -> int:
@@ -190,16 +214,23 @@ class Searcher:
             if len(words):
                 by_words.setdefault(words.tobytes(), []).append(name)
         self.names = list(by_words.values())
-        words = [np.frombuffer(w, U64) for w in by_words]
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        self.part = part
+        self.words = words = [np.frombuffer(w, U64) for w in by_words]
+        # Item and first word of each piece; most items are one piece.
+        self.pieces, parts = [], []
+        for i, item in enumerate(words):
+            cuts = np.linspace(0, len(item), -(-len(item) // PIECE_WORDS) + 1).astype(int).tolist()
+            self.pieces += [(i, a) for a in cuts[:-1]]
+            parts += [item[a:b] for a, b in zip(cuts, cuts[1:])]
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
         self.classes, at = [], 0
         while at < len(order):
-            most = max(len(words[order[at]]) * CLASS_RATIO, len(words[order[at]]) + 1)
+            most = max(len(parts[order[at]]) * CLASS_RATIO, len(parts[order[at]]) + 1)
             end = at
-            while end < len(order) and len(words[order[end]]) < most:
+            while end < len(order) and len(parts[order[end]]) < most:
                 end += 1
             own = order[at:end]
-            self.classes.append(LengthClass([words[i] for i in own], own, part, recall, seed))
+            self.classes.append(LengthClass([parts[i] for i in own], own, part, recall, seed))
             at = end
         self.known = np.zeros(_BITMAP, bool)
         if words:
@@ -226,6 +257,7 @@ class Searcher:
         np.cumsum(~known, out=foreign[1:])
         opens = np.array([a for a, _ in bounds])
         found = []
+        regions: dict[tuple[int, int], list] = {}
         for one in self.classes:
             spans: dict[tuple[int, int], list] = {}
             pairs = one.candidates(words, foreign)
@@ -245,9 +277,28 @@ class Searcher:
                     own.append((a, b))
             for (text, item), own in spans.items():
                 sought = one.items[item].tolist()
-                edits = min((least_edits(sought, words[a:b].tolist()) for a, b in own), default=len(sought))
-                if edits <= one.edits(len(sought)):
-                    found += [(text, name, len(sought), edits) for name in self.names[one.numbers[item]]]
+                number, first = self.pieces[one.numbers[item]]
+                after = len(self.words[number]) - first - len(sought)
+                edits = [least_edits(sought, words[a:b].tolist()) for a, b in own]
+                if first or after:
+                    # The whole item can only lie where one of its pieces is near enough.
+                    more = int(self.part * len(self.words[number]))
+                    for (a, b), n in zip(own, edits):
+                        if n <= one.edits(len(sought)):
+                            around = max(bounds[text][0], a - first - more), min(bounds[text][1], b + after + more)
+                            regions.setdefault((text, number), []).append(around)
+                elif min(edits, default=len(sought)) <= one.edits(len(sought)):
+                    found += [(text, name, len(sought), min(edits)) for name in self.names[number]]
+        for (text, number), own in regions.items():
+            sought, joined = self.words[number].tolist(), []
+            for a, b in sorted(own):
+                if joined and a <= joined[-1][1]:
+                    joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
+                else:
+                    joined.append((a, b))
+            edits = min(least_edits(sought, words[a:b].tolist()) for a, b in joined)
+            if edits <= int(self.part * len(sought)):
+                found += [(text, name, len(sought), edits) for name in self.names[number]]
         return found
 
 

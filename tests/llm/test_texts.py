@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from stewardry.llm import passages, suffix_array, texts
+from stewardry.llm import decontaminate, passages, suffix_array, texts
 from stewardry.llm.decontaminate import Searcher, least_edits
 
 
@@ -113,3 +114,29 @@ def test_search_finds_edited_items():
         held += (0, i) in {(t, name) for t, name, _, _ in found}
         assert all(t == 0 for t, *_ in found)
     assert held >= 0.9 * planted
+
+
+def edited_copies(draw, items, vocabulary):
+    """Copies with as many random edits as are allowed, and words around them."""
+    for _, text in items:
+        words = text.split()
+        for _ in range(int(0.2 * len(words))):
+            at, what = draw.randrange(len(words)), draw.randrange(3)
+            words[at : at + (what != 0)] = [] if what == 1 else [draw.choice(vocabulary)]
+        around = [" ".join(draw.choices(vocabulary, k=100)) for _ in range(2)]
+        yield as_bytes(around[0] + " " + " ".join(words) + " " + around[1])
+
+
+def test_search_finds_edited_copies_of_long_items():
+    draw = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(draw.choices(vocabulary, k=draw.choice((65, 300, 700))))) for i in range(60)]
+    found = Searcher(items, 0.2, 0.98).search(list(edited_copies(draw, items, vocabulary)))
+    assert sum((i, i) in {(t, name) for t, name, _, _ in found} for i in range(60)) >= 59
+    assert all(t == name and edits <= 0.2 * n for t, name, n, edits in found)
+
+
+def test_search_fails_where_walks_do_not_reach_the_recall(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_WALKS", 1)
+    with pytest.raises(ValueError):
+        Searcher([(0, " ".join(f"w{i}" for i in range(40)))], 0.2, 0.98)

@@ -14,6 +14,7 @@ found. A class of items that never gets there is an error.
 
 A walk over a long item seldom stays with an edited copy, so long items are sought
 by pieces: were every piece of a copy over its own limit, the item would be too.
+Items too short for an edit are looked up by a hash of all their words.
 
 Words that no item has are edits wherever they stand, which rules out most places
 before any walk without losing one.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.texts import U64, mix, plain_word_hashes, texts_of
+from stewardry.llm.texts import U64, mix, plain_word_hashes, powers, texts_of
 
 # Edits allowed, as a part of an item's words.
 MOST_EDITS = 0.2
@@ -51,6 +52,7 @@ BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 TRIALS = 400
 _BITMAP = 1 << 22
+_EXACT_SEED = 6
 
 
 def walk_keys(words: np.ndarray, starts: np.ndarray, walk: int, steps: list[int]) -> np.ndarray:
@@ -174,6 +176,34 @@ class LengthClass:
         return np.unique(np.concatenate([self._hits(one, words, starts) for one in self.walks]), axis=0)
 
 
+class ExactClass:
+    """Items of one length that may have no edits, and a hash of each."""
+
+    allowed = np.zeros(1, np.int64)
+
+    def __init__(self, items: list[np.ndarray], numbers: list[int]):
+        self.items, self.numbers = items, numbers
+        self.length = len(items[0])
+        p = powers(_EXACT_SEED)
+        keys = np.array([p.windows(p.prefix(i), self.length)[0] for i in items], U64)
+        self.order = np.argsort(keys, kind="stable")
+        self.keys, self.table = keys[self.order], np.stack(items)
+
+    def copies(self, words: np.ndarray, foreign: np.ndarray) -> np.ndarray:
+        """``item, place`` of each window that has an item's words."""
+        n = len(words) - self.length + 1
+        starts = np.flatnonzero(foreign[self.length :] == foreign[: max(n, 0)])
+        if not len(starts):
+            return np.zeros((0, 2), np.int64)
+        p = powers(_EXACT_SEED)
+        found = p.spans(p.prefix(words), starts, starts + self.length)
+        at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+        near = self.keys[at] == found
+        starts, items = starts[near], self.order[at[near]]
+        same = (words[starts[:, None] + np.arange(self.length)] == self.table[items]).all(axis=1)
+        return np.stack([items[same], starts[same]], axis=1)
+
+
 def least_edits(item: list[int], region: list[int]) -> int:
     """The least edit distance of the item to any run of words of the region.
 
@@ -222,7 +252,13 @@ class Searcher:
             cuts = np.linspace(0, len(item), -(-len(item) // PIECE_WORDS) + 1).astype(int).tolist()
             self.pieces += [(i, a) for a in cuts[:-1]]
             parts += [item[a:b] for a, b in zip(cuts, cuts[1:])]
-        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        # An item that may have no edits is sought whole, at any length.
+        exact: dict[int, list[int]] = {}
+        for i, item in enumerate(words):
+            if int(part * len(item)) == 0:
+                exact.setdefault(len(item), []).append(i)
+        self.exact = [ExactClass([words[i] for i in own], own) for own in exact.values()]
+        order = sorted((i for i in range(len(parts)) if int(part * len(words[self.pieces[i][0]]))), key=lambda i: len(parts[i]))
         self.classes, at = [], 0
         while at < len(order):
             most = max(len(parts[order[at]]) * CLASS_RATIO, len(parts[order[at]]) + 1)
@@ -242,9 +278,9 @@ class Searcher:
         The words of all texts stand in one row. Between two texts lie more
         foreign words than any item may have edits, so no window crosses.
         """
-        if not self.classes:
+        if not self.words:
             return []
-        gap = np.zeros(1 + max(int(c.allowed.max()) for c in self.classes), U64)
+        gap = np.zeros(1 + max(int(c.allowed.max()) for c in [*self.exact, *self.classes]), U64)
         parts, bounds, at = [], [], 0
         for text in texts:
             words = plain_word_hashes(text)
@@ -258,6 +294,11 @@ class Searcher:
         opens = np.array([a for a, _ in bounds])
         found = []
         regions: dict[tuple[int, int], list] = {}
+        for one in self.exact:
+            copies = one.copies(words, foreign)
+            copies[:, 1] = np.searchsorted(opens, copies[:, 1], "right") - 1
+            for item, text in np.unique(copies, axis=0).tolist():
+                found += [(text, name, one.length, 0) for name in self.names[one.numbers[item]]]
         for one in self.classes:
             spans: dict[tuple[int, int], list] = {}
             pairs = one.candidates(words, foreign)

@@ -140,3 +140,17 @@ def test_search_fails_where_walks_do_not_reach_the_recall(monkeypatch):
     monkeypatch.setattr(decontaminate, "MOST_WALKS", 1)
     with pytest.raises(ValueError):
         Searcher([(0, " ".join(f"w{i}" for i in range(40)))], 0.2, 0.98)
+
+
+def test_search_finds_every_copy_of_short_items():
+    draw = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    short = sorted({" ".join(draw.choices(vocabulary, k=1 + i % 4)) for i in range(200)})
+    items = [*enumerate(short), (-1, "这是一个问题")]
+    around = lambda k: " ".join(draw.choices(vocabulary, k=k))
+    documents = [" ".join([*[around(k)] * (k > 0), text, *[around(k)] * (k > 0)]) for k in (0, 20) for _, text in items]
+    found = Searcher(items, 0.2, 0.98).search([as_bytes(d) for d in documents])
+    expected = {(t, name, len(text.split()), 0) for t, d in enumerate(documents) for name, text in items if f" {text} " in f" {d} "}
+    assert len(found) == len(set(found)) and set(found) == expected
+    whole = [(0, " ".join(draw.choices(vocabulary, k=90)))]
+    assert Searcher(whole, 0, 0.98).search([as_bytes(around(30) + " " + whole[0][1])]) == [(0, 0, 90, 0)]

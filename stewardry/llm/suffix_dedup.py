@@ -29,6 +29,8 @@ GRAM = 160
 # Units of one anchor from which on they meet by block, and windows of a block.
 MANY_UNITS = 256
 BLOCK = 32
+# Texts that a task remembers to have cut.
+CUT_TEXTS = 200_000
 # Bytes of one suffix array, unless one group alone has more.
 ARRAY_BYTES = 512 << 10
 
@@ -72,17 +74,25 @@ def cut_pieces(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     A unit goes whole to the group of its anchor. A unit of a crowded anchor
     goes in blocks: of the windows that start within ``BLOCK`` places, counted
     from the anchor, all hold the bytes from the last start to the first end,
-    so equal ones meet in the group of that core.
+    so equal ones meet in the group of that core. Of equal texts a task cuts one,
+    so a piece comes at most about as often as there are tasks.
     """
     lists = wanted.groupBy(F.col("v1").alias("_v1"), F.col("v2").alias("_v2")).agg(
         F.collect_list(F.struct("anchor", "content", "low", "high", "place", "crowded")).alias("units"),
     )
-    texts = rows.join(lists, (F.col("v1") == F.col("_v1")) & (F.col("v2") == F.col("_v2"))).select("text", "units")
+    texts = rows.join(lists, (F.col("v1") == F.col("_v1")) & (F.col("v2") == F.col("_v2"))).select("v1", "v2", "text", "units")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = powers(9)
+        p, known = powers(9), set()
         for batch in batches:
-            out, size = [], 0
+            new = []
+            for i, name in enumerate(zip(batch.column("v1").to_pylist(), batch.column("v2").to_pylist())):
+                if name not in known:
+                    if len(known) >= CUT_TEXTS:
+                        known.clear()
+                    known.add(name)
+                    new.append(i)
+            batch, out, size = batch.take(pa.array(new, pa.int64())), [], 0
             for text, units in zip(texts_of(batch.column("text")), batch.column("units").to_pylist()):
                 prefix = p.prefix(byte_values(text)) if any(u["crowded"] for u in units) else None
                 for u in units:

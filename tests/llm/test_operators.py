@@ -393,6 +393,23 @@ def test_repeated_bytes_go(rows, documents, monkeypatch):
         assert collected(suffix_dedup.remove_repeats(documents, width, gram=gram)) == expected
 
 
+def pieces_sorted(monkeypatch, documents):
+    """The pieces that come to the suffix arrays, as a table, and the result."""
+    given, sort = [], suffix_dedup.sorted_runs
+    monkeypatch.setattr(suffix_dedup, "sorted_runs", lambda pieces, width: given.append(pieces) or sort(pieces, width))
+    found = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(documents).collect()}
+    return given[0], found
+
+
+def test_copies_do_not_meet_in_one_task(spark, documents, monkeypatch):
+    text = " ".join(f"word{i * i}" for i in range(150))
+    rows = [(i, text) for i in range(400)] + [(400, text[:700] + " ends otherwise " + text[:300])]
+    pieces, found = pieces_sorted(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    times = pieces.groupBy("grp", "anchor", "content", "base").count().agg(F.max("count")).first()[0]
+    assert 0 < times <= 16
+    assert all(found[i] == (len(text), len(text)) for i in range(400)) and found[400][1] == 700 + (text[:701][-1] == " ")
+
+
 # Empty tables
 
 

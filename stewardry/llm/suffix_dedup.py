@@ -5,7 +5,8 @@ have equal anchors, so the suffixes to be sorted together are those of the units
 of one anchor, and units whose anchor or content stands alone are settled by
 counting. Of units with equal content one goes to the suffix array. Where many
 units share an anchor, they are cut into blocks of windows that share a core,
-and only blocks of equal cores meet.
+and only blocks of equal cores meet. Groups too large for one suffix array are
+settled by counting the hashes of their windows.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stewardry.llm import passages
@@ -31,8 +32,9 @@ MANY_UNITS = 256
 BLOCK = 32
 # Texts that a task remembers to have cut.
 CUT_TEXTS = 200_000
-# Bytes of one suffix array, unless one group alone has more.
-ARRAY_BYTES = 512 << 10
+# Bytes of one group of pieces, above which its windows are counted instead, and
+# bytes from which on a suffix array takes no further group.
+GROUP_BYTES = 512 << 10
 
 
 def _rows(documents: DataFrame, text: str, key: str) -> DataFrame:
@@ -141,7 +143,7 @@ def sorted_runs(pieces: DataFrame, width: int) -> DataFrame:
                     last = (anchor, content, base)
                     held.append((*last, np.frombuffer(piece, np.uint8)))
                     size += len(piece)
-            if size > ARRAY_BYTES:
+            if size > GROUP_BYTES:
                 yield from _flagged(held, width)
                 held, size = [], 0
         yield from _flagged(held, width)
@@ -149,6 +151,62 @@ def sorted_runs(pieces: DataFrame, width: int) -> DataFrame:
     return dealt.mapInArrow(runs, "anchor long, content long, start int, end int")
 
 
+def counted_runs(pieces: DataFrame, width: int) -> DataFrame:
+    """``anchor, content, start, end`` as by ``sorted_runs``, a row per window.
+
+    Windows are named by two hashes. Those of one unit differ, as equal ones have
+    their anchor at the same place, so a window is repeated if its least and its
+    greatest content differ; pieces that come twice change nothing.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [np.frombuffer(b, np.uint8) for b in batch.column("piece").to_pylist()]
+            if not bodies:
+                continue
+            counts = np.array([len(b) - width + 1 for b in bodies])
+            hashes = [passages.window_hashes(byte_values(b), 0, len(b) - width, width) for b in bodies]
+            at = np.repeat(np.arange(len(bodies)), counts)
+            start = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts) + batch.column("base").to_numpy()[at]
+            arrays = [pa.array(signed(np.concatenate(h))) for h in zip(*hashes)]
+            arrays += [batch.column(c).take(pa.array(at)) for c in ("anchor", "content")] + [pa.array(start.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, ["w1", "w2", "anchor", "content", "start"])
+
+    windows = pieces.mapInArrow(cut, "w1 long, w2 long, anchor long, content long, start int")
+    repeated = windows.groupBy(F.col("w1").alias("_w1"), F.col("w2").alias("_w2")).agg(
+        F.min("content").alias("_least"), F.max("content").alias("_most")
+    )
+    repeated = repeated.where("_least <> _most").select("_w1", "_w2")
+    found = windows.join(repeated, (F.col("w1") == F.col("_w1")) & (F.col("w2") == F.col("_w2")))
+    return found.select("anchor", "content", "start", (F.col("start") + width).alias("end"))
+
+
+def runs_of(pieces: DataFrame, width: int) -> DataFrame:
+    """Runs of repeated windows: small groups by suffix arrays, others by counting."""
+    pieces = staged(pieces, "pieces")
+    large = pieces.groupBy(F.col("grp").alias("_grp")).agg(F.sum(F.octet_length("piece")).alias("_bytes"))
+    # At most a row for every GROUP_BYTES of pieces.
+    large = F.broadcast(staged(large.where(F.col("_bytes") > GROUP_BYTES).select("_grp"), "large"))
+    same = F.col("grp") == F.col("_grp")
+    small = sorted_runs(pieces.join(large, same, "left_anti"), width)
+    return small.unionByName(counted_runs(pieces.join(large, same, "left_semi"), width))
+
+
+def joined_runs(runs: Column) -> Column:
+    """Sorted spans as an array, with those that touch as one."""
+    last = lambda done: F.try_element_at(done, F.lit(-1))
+    span = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+
+    def add(done, run):
+        longer = span(last(done)["start"], F.greatest(last(done)["end"], run["end"]))
+        touches = (F.size(done) > 0) & (run["start"] <= last(done)["end"])
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), longer)).otherwise(
+            F.concat(done, span(run["start"], run["end"]))
+        )
+
+    return F.aggregate(F.array_sort(runs), F.array().cast("array<struct<start:int,end:int>>"), add)
+
+
 def _flagged(held, width: int) -> Iterator[pa.RecordBatch]:
     out = []
     for (anchor, content, base, _), twice in zip(held, repeated_windows([h[3] for h in held], width) if held else []):
@@ -173,9 +231,9 @@ def repeated_spans(rows: DataFrame, width: int, gram: int) -> DataFrame:
     wanted = flagged.where("units > 1").select(
         "anchor", "content", "first.*", (F.col("units") > MANY_UNITS).alias("crowded")
     )
-    runs = staged(sorted_runs(cut_pieces(rows, wanted, width), width), "runs")
+    runs = staged(runs_of(cut_pieces(rows, wanted, width), width), "runs")
     lists = runs.groupBy(F.col("anchor").alias("_a"), F.col("content").alias("_c")).agg(
-        F.collect_list(F.struct("start", "end")).alias("runs")
+        joined_runs(F.collect_set(F.struct("start", "end"))).alias("runs")
     )
     same = lambda a, c: (F.col("anchor") == F.col(a)) & (F.col("content") == F.col(c))
     whole = F.array(F.struct(F.lit(0).alias("start"), (F.col("_high") - F.col("_low") + width).alias("end")))

@@ -410,6 +410,25 @@ def test_copies_do_not_meet_in_one_task(spark, documents, monkeypatch):
     assert all(found[i] == (len(text), len(text)) for i in range(400)) and found[400][1] == 700 + (text[:701][-1] == " ")
 
 
+def test_a_common_passage_does_not_fill_one_suffix_array(spark, monkeypatch):
+    passage = "".join(f"{i * i:x} " for i in range(100, 240))[:600]
+    rows = [(i, hashlib.sha256(b"%d" % i).hexdigest() + passage + hashlib.md5(b"%d" % i).hexdigest() * 2) for i in range(1600)]
+    pieces, found = pieces_sorted(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string"))
+    most = pieces.groupBy("grp").agg(F.sum(F.length("piece")).alias("n")).agg(F.max("n")).first()[0]
+    assert (most or 0) <= 512 << 10
+    # A byte or two at the edges may be the same by chance.
+    assert len(found) == 1600 and all(n == 728 and 600 <= gone <= 616 for n, gone in found.values())
+
+
+def test_counted_windows_give_the_same(documents, monkeypatch):
+    for width, gram in ((400, 160), (90, 30)):
+        expected = collected(suffix_dedup.remove_repeats(documents, width, gram=gram))
+        with monkeypatch.context() as patch:
+            patch.setattr(suffix_dedup, "GROUP_BYTES", 0)
+            patch.setattr(suffix_dedup, "MANY_UNITS", 2)
+            assert collected(suffix_dedup.remove_repeats(documents, width, gram=gram)) == expected
+
+
 # Empty tables
 
 

@@ -1,5 +1,6 @@
 """SQL for DuckDB, for the queries that SQL can express."""
 
+from stewardry.llm.merkle import FAN
 from stewardry.llm.quality_rules import MAX_HOST_RATE, MAX_REPEAT_PERCENT, MIN_WORDS, RULES
 
 ORACLES: dict[str, str] = {}
@@ -125,3 +126,91 @@ degrees AS (SELECT a AS c, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, class_id, n - 1 AS n_copies, coalesce(n_links, 0) AS n_links
 FROM docs JOIN classes ON docs.w = classes.w JOIN heads USING (c) LEFT JOIN degrees USING (c)
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    cast(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM given a JOIN given b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+near AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def _field(column: str) -> str:
+    text = f"cast({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE cast(strlen({text}) AS VARCHAR) || ':' || {text} END"
+
+
+def _climb(nodes: str, tree: str, levels: int) -> str:
+    """Levels above the table ``{nodes}0`` (``tree, i, h``): runs of each, and their digests."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{nodes}{k}_n AS (SELECT *, count(*) OVER (PARTITION BY {tree}) AS n FROM {nodes}{k}),
+{nodes}{k}_runs AS (SELECT {tree}, i // {FAN} AS run, max(n) AS n, list(h ORDER BY i) AS kids FROM {nodes}{k}_n GROUP BY {tree}, i // {FAN}),
+{nodes}{k + 1} AS (
+  SELECT {tree}, run AS i, CASE WHEN n = 1 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS h FROM {nodes}{k}_runs),""")
+    return "\n".join(out)
+
+
+def _step(after: str, before: str, runs: str, match: str, size: int) -> str:
+    """Fold one level: a row's siblings in its run, unless the level has one node."""
+    place = f"(i // {size}) % {FAN}"
+    return f"""{after} AS (
+  SELECT d.* EXCLUDE (siblings, fold),
+    CASE WHEN n = 1 THEN siblings ELSE siblings || array_to_string(kids[1:{place}], '') || array_to_string(kids[{place} + 2:], '') END AS siblings,
+    CASE WHEN n = 1 THEN fold
+      ELSE sha256(array_to_string(kids[1:{place}], '') || fold || array_to_string(kids[{place} + 2:], '')) END AS fold
+  FROM {before} d JOIN {runs} r ON {match} AND r.run = d.i // {size * FAN}),"""
+
+
+# Levels of a language's tree and of the top tree: room for 8**7 rows of a language.
+_LEVELS, _TOPS = 7, 3
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE bits AS (SELECT n, n AS c, 0 AS k FROM (SELECT unnest(range(256)) AS n) UNION ALL
+  SELECT n, xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+crcs AS (
+  SELECT doc_id, cast(doc_id AS VARCHAR) AS s, 0 AS k, 4294967295::BIGINT AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, s, crcs.k + 1, xor(crcs.c >> 8, bits.c)
+  FROM crcs JOIN bits ON bits.k = 8 AND bits.n = xor(crcs.c, ascii(s[crcs.k + 1])) % 256 WHERE crcs.k < length(s)),
+marked AS (SELECT doc_id, xor(c, 4294967295) % 3 = 0 AS tampered FROM crcs WHERE k = length(s)),
+leaves AS (
+  SELECT doc_id, lang, {" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head, text,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, tampered
+  FROM documents LEFT JOIN marked USING (doc_id)),
+hashed AS (
+  SELECT doc_id, lang, {_field("lang")} AS tree, sha256(head || {_field("text")}) AS leaf,
+    CASE WHEN tampered THEN sha256(head || {_field("low")}) ELSE sha256(head || {_field("text")}) END AS shown
+  FROM leaves),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS i FROM hashed),
+node0 AS (SELECT tree, i, leaf AS h FROM placed),
+{_climb("node", "tree", _LEVELS)}
+langs AS (SELECT DISTINCT tree, lang FROM hashed),
+above0 AS (
+  SELECT 1 AS one, tree, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, h FROM node{_LEVELS} JOIN langs USING (tree)),
+{_climb("above", "one", _TOPS)}
+fold0 AS (SELECT *, '' AS siblings, shown AS fold FROM placed),
+{chr(10).join(_step(f"fold{k + 1}", f"fold{k}", f"node{k}_runs", "r.tree = d.tree", FAN**k) for k in range(_LEVELS))}
+top0 AS (
+  SELECT d.doc_id, d.leaf, a.h AS subroot, a.i, d.siblings, d.fold FROM fold{_LEVELS} d JOIN above0 a ON a.tree = d.tree),
+{chr(10).join(_step(f"top{k + 1}", f"top{k}", f"above{k}_runs", "r.one = 1", FAN**k) for k in range(_TOPS))}
+roots AS (SELECT h AS root FROM above{_TOPS})
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM top{_TOPS}, roots
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stewardry.llm import decontaminate, jaccard_join, mixing, quality_cnn, quality_rules, substring_dedup, suffix_dedup, token_counts, token_files, warc
+from stewardry.llm import (
+    decontaminate,
+    hard_negatives,
+    jaccard_join,
+    merkle,
+    mixing,
+    packing,
+    quality_cnn,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    warc,
+)
 from stewardry.llm.staging import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +106,25 @@ def op8_quality_cnn(spark, sf):
     return scored.select(
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@query
+def op11_best_fit_packing(spark, sf):
+    return packing.pack_documents(spark, table(spark, sf, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark, rows.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_merkle_manifest(spark, sf):
+    named = [merkle.field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.digest(*named, merkle.field(F.col("text")))
+    lowered = merkle.digest(*named, merkle.field(merkle.lower_ascii(F.col("text"))))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    proven = merkle.manifest(table(spark, sf, "documents"), "doc_id", "lang", leaf, F.when(tampered, lowered).otherwise(leaf))
+    return proven.drop("lang")

@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, name):
     columns = sorted(result.columns)
     got = Counter(tuple(map(rounded, r)) for r in result.select(*columns).collect())
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]

@@ -27,6 +27,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stewardry.llm.prefix import totals_before
 from stewardry.llm.staging import file_system, run_folder, staged
 
 BLOCK_ROWS = 1024
@@ -151,18 +152,36 @@ def on_curve(part: DataFrame, mean: np.ndarray, deviation: np.ndarray, scale: in
     return staged(part.mapInArrow(place, f"{PLACE}, anchor boolean, q array<double>, place binary"), "vectors")
 
 
-def write_blocks(rows: DataFrame, folder: str, name: str, width: int, most: int) -> str:
-    """Write the rows in curve order as blocks of at most ``most`` rows, and their zone
-    maps as a table; the path of that table.
+def in_order(rows: DataFrame) -> list[Column]:
+    """The order of blocks: by label, by place on the curve, then by id and row."""
+    return [F.col("label"), F.col("place"), F.col("id").asc_nulls_last(), F.col("row")]
+
+
+def dealt_candidates(vectors: DataFrame) -> DataFrame:
+    """Candidates in order, a range of them in each task."""
+    order = in_order(vectors)
+    return vectors.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("cut", F.lit(0).cast("long"))
+
+
+def dealt_anchors(vectors: DataFrame) -> DataFrame:
+    """Anchors in order, ``ANCHOR_ROWS`` neighbours for each value of ``cut``, however
+    many tasks there are."""
+    anchors = staged(vectors.where("anchor"), "anchors")
+    placed = totals_before(anchors, [], in_order(anchors), F.lit(1), "at")
+    placed = placed.withColumn("cut", F.floor(F.col("at") / ANCHOR_ROWS))
+    return placed.repartition("cut").sortWithinPartitions("cut", "at")
+
+
+def write_blocks(dealt: DataFrame, folder: str, name: str, width: int, most: int) -> str:
+    """Write dealt rows as blocks of at most ``most`` rows with one ``cut`` each, and
+    their zone maps as a table; the path of that table.
 
     Rows of a block are in the order of ties: by id, nulls last, then by row.
     """
-    dealt = rows.repartitionByRange("label", "place", F.col("id").asc_nulls_last(), "row")
-    dealt = dealt.sortWithinPartitions("label", "place", F.col("id").asc_nulls_last(), "row")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = file_system(folder)
-        file, out, number, waiting, n = f"{name}/{uuid.uuid4().hex}.parquet", None, 0, [], 0
+        file, out, number, waiting, n, cut = f"{name}/{uuid.uuid4().hex}.parquet", None, 0, [], 0, None
 
         def block(table: pa.Table) -> pa.RecordBatch:
             nonlocal out, number
@@ -182,14 +201,17 @@ def write_blocks(rows: DataFrame, folder: str, name: str, width: int, most: int)
             return pa.RecordBatch.from_arrays([*arrays, *zone], [c.split()[0] for c in ZONE.split(", ")])
 
         for batch in batches:
-            batch = batch.select(["row", "id", "label", "q"])
-            while batch.num_rows:
-                take = min(most - n, batch.num_rows)
-                waiting.append(batch.slice(0, take))
-                batch, n = batch.slice(take), n + take
-                if n == most:
+            cuts = batch.column("cut").to_numpy()
+            batch, at = batch.select(["row", "id", "label", "q"]), 0
+            while at < batch.num_rows:
+                if waiting and (n == most or cuts[at] != cut):
                     yield block(pa.Table.from_batches(waiting))
                     waiting, n = [], 0
+                cut = cuts[at]
+                run = int(np.argmax(np.append(cuts[at:] != cut, True)))
+                take = min(most - n, run)
+                waiting.append(batch.slice(at, take))
+                at, n = at + take, n + take
         if waiting:
             yield block(pa.Table.from_batches(waiting))
         if out is not None:
@@ -474,8 +496,8 @@ def mine(
     width = len(mean)
     vectors = on_curve(part, mean, deviation, scale)
     folder = run_folder(spark, "blocks")
-    blocks = write_blocks(vectors, folder, "candidates", width, BLOCK_ROWS)
-    groups = spark.read.parquet(write_blocks(vectors.where("anchor"), folder, "anchors", width, ANCHOR_ROWS))
+    blocks = write_blocks(dealt_candidates(vectors), folder, "candidates", width, BLOCK_ROWS)
+    groups = spark.read.parquet(write_blocks(dealt_anchors(vectors), folder, "anchors", width, ANCHOR_ROWS))
     blocks = blocks.removeprefix(f"{folder}/")
     windows = "array<struct<idx:int,w:int,low:long,high:long>>"
     near = search(groups.withColumn("windows", F.lit(None).cast(windows)), folder, blocks, width, True, positives)

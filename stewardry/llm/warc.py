@@ -25,7 +25,8 @@ CHUNK_BYTES = 64 << 10
 READ_BYTES = 256 << 10
 BATCH_BYTES = 4 << 20
 ARCHIVE_BYTES = 256 << 20
-# A record or HTTP header longer than this is taken for a broken archive.
+# A record or HTTP header longer than this, and than any the writer tells of, is
+# taken for a broken archive.
 MOST_HEADER_BYTES = 1 << 20
 # Payloads shorter than this are stored again each time.
 LEAST_REVISIT_BYTES = 100
@@ -92,16 +93,17 @@ def record(key, url: str | None, payload: memoryview, digest: str, refers_to, da
 
 
 def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Write planned records; ``file, n_records, n_bytes`` of every archive."""
+    """Write planned records; ``file, n_records, n_bytes, longest_header`` of every
+    archive. The first piece of a record is its headers."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = file_system(folder)
-        out, name, n, size, made = None, "", 0, 0, []
+        out, name, n, size, longest, made = None, "", 0, 0, 0, []
 
         def close():
             if out is not None:
                 out.close()
-                made.append((name, n, size))
+                made.append((name, n, size, longest))
 
         for batch in batches:
             keys, urls, digests, refers = (batch.column(c).to_pylist() for c in ("key", "url", "digest", "refers_to"))
@@ -109,11 +111,12 @@ def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:0
             for i, (key, url, digest, to) in enumerate(zip(keys, urls, digests, refers)):
                 if out is None or size > ARCHIVE_BYTES:
                     close()
-                    name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    name, n, size, longest = f"{uuid.uuid4().hex}.warc.gz", 0, 0, 0
                     store.create_dir(base, recursive=True)
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
                 packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-                for piece in record(key, url, memoryview(payloads[i].as_buffer()), digest, to, date):
+                for at, piece in enumerate(record(key, url, memoryview(payloads[i].as_buffer()), digest, to, date)):
+                    longest = max(longest, len(piece)) if at == 0 else longest
                     packed = packer.compress(piece)
                     size += len(packed)
                     out.write(packed)
@@ -122,19 +125,20 @@ def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:0
                 out.write(packed)
                 n += 1
         close()
-        names, counts, sizes = zip(*made) if made else ((), (), ())
+        names, *numbers = zip(*made) if made else [()] * 4
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())],
-            ["file", "n_records", "n_bytes"],
+            [pa.array(names, pa.string()), *[pa.array(c, pa.int64()) for c in numbers]],
+            ["file", "n_records", "n_bytes", "longest_header"],
         )
 
-    return staged(records.mapInArrow(write, "file string, n_records long, n_bytes long"), "archives")
+    return staged(records.mapInArrow(write, "file string, n_records long, n_bytes long, longest_header long"), "archives")
 
 
 class Stream:
     """Unpacked bytes of an archive, plain or in gzip members, a piece at a time."""
 
-    def __init__(self, source):
+    def __init__(self, source, most_header: int = MOST_HEADER_BYTES):
+        self.most_header = most_header
         self.source, self.left, self.packed, self.unpacker = source, bytearray(), b"", None
         self.ended = False
         start = source.read(2)
@@ -173,7 +177,7 @@ class Stream:
         searched = 0
         while (at := self.left.find(b"\r\n\r\n", searched)) < 0:
             searched = max(0, len(self.left) - 3)
-            if len(self.left) > MOST_HEADER_BYTES:
+            if len(self.left) > self.most_header + READ_BYTES:
                 raise ValueError("a header has no end")
             if not self.more():
                 if bytes(self.left).strip():
@@ -208,9 +212,9 @@ def _bare(identifier: str | None) -> str | None:
     return identifier.strip("<>") if identifier is not None else None
 
 
-def chunks(source) -> Iterator[tuple]:
+def chunks(source, most_header: int = MOST_HEADER_BYTES) -> Iterator[tuple]:
     """Rows of the chunk table for one archive."""
-    stream = Stream(source)
+    stream = Stream(source, most_header)
     while (head := stream.head()) is not None:
         if not head.startswith(b"WARC/"):
             raise ValueError("not a WARC record")
@@ -247,9 +251,11 @@ def chunks(source) -> Iterator[tuple]:
 
 
 def read_chunks(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
-    """The chunk table of the archives named in ``files``.
+    """The chunk table of the archives named in ``files``, a staged table, which may
+    tell their ``longest_header``.
 
-    ``payload_bytes`` and ``payload_digest`` are set in the last chunk's row; a
+    Names are tiny and the work lies in the archives, so they are dealt to as many
+    tasks as there are archives, which no one merges by their size. ``payload_bytes`` and ``payload_digest`` are set in the last chunk's row; a
     record without a payload has one empty chunk. A broken archive, or a payload
     that differs from its stated digest, fails the read.
     """
@@ -265,9 +271,9 @@ def read_chunks(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, longest in zip(*(c.to_pylist() for c in batch.columns)):
                 with store.open_input_stream(f"{base}/{name}", compression=None) as source:
-                    for row in chunks(source):
+                    for row in chunks(source, max(MOST_HEADER_BYTES, longest)):
                         rows.append(row)
                         size += len(row[5]) + 200
                         if size > BATCH_BYTES:
@@ -276,7 +282,8 @@ def read_chunks(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame
         if rows:
             yield packed()
 
-    return files.select("file").repartition("file").mapInArrow(read, CHUNKS)
+    longest = F.col("longest_header") if "longest_header" in files.columns else F.lit(0).cast("long")
+    return files.select("file", longest).repartition(max(files.count(), 1), "file").mapInArrow(read, CHUNKS)
 
 
 def write_and_read(

@@ -63,6 +63,21 @@ def test_warc_chunks_carry_running_digests(spark, documents, tmp_path):
     assert whole == text.encode()
 
 
+def test_many_archives_are_read_by_many_tasks(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 0)
+    pages = documents.withColumn("url", F.lit("u")).repartition(24)
+    files = warc.write_archives(warc.plan_records(pages, "doc_id", "url", "text"), f"file://{tmp_path}")
+    assert files.count() >= 24
+    read = warc.read_chunks(spark, files, f"file://{tmp_path}").groupBy(F.spark_partition_id()).count().collect()
+    assert len(read) > 12
+
+
+def test_a_long_address_is_read_back(spark):
+    long = "data:" + "x y" * 500_000
+    pages = spark.createDataFrame([(1, long, "p"), (2, "u", None)], "page_id long, url string, html string")
+    assert {(r.page_id, r.payload_bytes) for r in warc.write_and_read(spark, pages).collect()} == {("1", 1), ("2", 0)}
+
+
 def test_warc_reads_plain_archives_and_rejects_broken_ones(spark, tmp_path):
     import io
 

@@ -11,9 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stewardry.llm.prefix import totals_before
 from stewardry.llm.staging import hidden, staged
 from stewardry.llm.texts import word_count, words
-from stewardry.operators.ordering import running_total
 
 # Weights, in turn over the sources by code point.
 WEIGHTS = (5, 2, 1)
@@ -72,7 +72,8 @@ def mixed(
         draw(key, seed).alias("draw"),
     )
     order = [F.col("draw"), F.col("_key"), F.col("size")]
-    placed = running_total(sized, ["source"], order, F.col("size"), "_before")
+    # Words are split once; the bounds of the ranges are taken from staged sizes.
+    placed = totals_before(staged(sized, "sizes"), ["source"], order, F.col("size"), "_before")
     placed = staged(placed, "places")
     sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(sizes).select(F.col("source").alias("_source"), "source_size", "target")

@@ -7,9 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.operators.lookup import ROW, all_of
+
 CREATED, EXISTING, UPDATED, FAILED = "created", "existing", "updated", "failed"
 SUCCEEDED, SKIPPED, NO_VALUE, IGNORED = "succeeded", "skipped", "no_value", "ignored"
 
+# What an answer says of the row that asked for it, and of an edge that waits for one.
+CONFIRMED, REFUSED, MISSING, STRAY = "confirmed", "refused", "missing", "stray"
+HELD_BACK = "held_back"
+
 BAD_DOMAIN = "Invalid domain UUID"
 BAD_USER = "Invalid user ID"
 BAD_DATE = "Invalid target date"
@@ -115,3 +121,51 @@ def classify(answers: DataFrame) -> DataFrame:
         .otherwise(plain_answer(code))
     )
     return answers.withColumn("outcome", chosen)
+
+
+def last_answers(answers: DataFrame, key: list[str], order: str = ROW) -> DataFrame:
+    """The last answer of every key, with its outcome: ``key…, answer, answers``.
+
+    Keys asked for again and again shrink to one row in the map tasks.
+    """
+    told = classify(answers).where(all_of([F.col(k).isNotNull() for k in key]))
+    return told.groupBy(*key).agg(F.max_by("outcome", order).alias("answer"), F.count(F.lit(1)).alias("answers"))
+
+
+def reconcile(plan: DataFrame, answers: DataFrame, key: list[str], order: str = ROW) -> DataFrame:
+    """The rows a plan creates against their answers: ``key…, id, answer, answers, status``.
+
+    A row is confirmed if its last answer made the record, refused if that says
+    anything else (also that the catalog holds one under another id), and missing
+    without an answer. Answers to what no row asked for are stray, without an id.
+    The plan's created rows are unique by key.
+    """
+    asked = plan.where(F.col("outcome") == CREATED).select(*[F.col(k).alias(f"_asked_{k}") for k in key], "id")
+    told = last_answers(answers, key, order)
+    joined = asked.join(told, all_of([F.col(f"_asked_{k}") == F.col(k) for k in key]), "full")
+    status = (
+        F.when(F.col(f"_asked_{key[0]}").isNull(), STRAY)
+        .when(F.col("answer").isNull(), MISSING)
+        .when(F.col("answer").isin(CREATED, SUCCEEDED, UPDATED), CONFIRMED)
+        .otherwise(REFUSED)
+    )
+    names = [F.coalesce(f"_asked_{k}", k).alias(k) for k in key]
+    return joined.select(*names, "id", "answer", F.coalesce("answers", F.lit(0)).alias("answers"), status.alias("status"))
+
+
+def confirmed(plan: DataFrame, reconciled: DataFrame) -> DataFrame:
+    """The created rows of a plan whose records were made."""
+    made = reconciled.where(F.col("status") == CONFIRMED).select(F.col("id").alias("_made"))
+    return plan.where(F.col("outcome") == CREATED).join(made, F.col("id") == F.col("_made"), "left_semi")
+
+
+def release(edges: DataFrame, reconciled: DataFrame, planned: str = "planned") -> DataFrame:
+    """Planned edges whose ends are there; those that wait for a row not confirmed
+    are held back."""
+    waits = reconciled.where(F.col("status").isin(MISSING, REFUSED)).select("id").distinct()
+    out = edges
+    for end in ("source_id", "target_id"):
+        side = waits.select(F.col("id").alias(f"_waits_{end}"))
+        out = out.join(side, F.col(end) == F.col(f"_waits_{end}"), "left")
+    held = (F.col("outcome") == planned) & F.coalesce("_waits_source_id", "_waits_target_id").isNotNull()
+    return out.withColumn("outcome", F.when(held, HELD_BACK).otherwise(F.col("outcome"))).drop("_waits_source_id", "_waits_target_id")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from stewardry.functions.records import id_structs, json_text, one_or_none, stable_id
 from stewardry.operators.dedupe import keep_first
-from stewardry.operators.hierarchy import CYCLE, grow
-from stewardry.operators.lookup import ROW, resolve, resolve_owners
+from stewardry.operators.hierarchy import CYCLE, climb, grow
+from stewardry.operators.lookup import ROW, left_lookup, resolve, resolve_owners
 from stewardry.plans.domains import domain_id
 from stewardry.plans.outcomes import BAD_DOMAIN, CREATED, EXISTING, FAILED, NO_KEY
 from stewardry.session import stage
@@ -22,6 +22,15 @@ ROLES = {
 }
 
 
+# The first loader's lookups: the named column, and the column of its id.
+BY_NAME = {
+    NAME: "glossary_term_name_id",
+    PARENT: "glossary_term_parent_term_id",
+    "glossary_term_synonyms": "glossary_term_synonyms_id",
+    "glossary_term_related": "glossary_term_related_id",
+}
+
+
 def dedupe(file: DataFrame) -> DataFrame:
     """One row per (term, domain): a root row if any, else the greatest parent."""
     return keep_first(file, [NAME, DOMAIN], [F.col(PARENT).desc_nulls_first(), F.col(ROW)])
@@ -71,9 +80,7 @@ def resolve_ids(rows: DataFrame, domains: DataFrame, terms: DataFrame) -> DataFr
 def with_product(rows: DataFrame, products: DataFrame) -> DataFrame:
     """Each term with every data product of the name it gives; null for none."""
     named = products.select(F.col("name").alias("_product"), F.col("id").alias("data_product_uuid"))
-    return rows.join(named, F.col("glossary_term_data_product") == F.col("_product"), "left").drop(
-        "_product"
-    )
+    return left_lookup(rows, named, {"glossary_term_data_product": "_product"}).drop("_product")
 
 
 def resolve_by_name(rows: DataFrame, full_terms: DataFrame) -> DataFrame:
@@ -83,17 +90,9 @@ def resolve_by_name(rows: DataFrame, full_terms: DataFrame) -> DataFrame:
     empty text.
     """
     known = full_terms.select(F.col("Name").cast("string"), "ID")
-    lookups = {
-        NAME: "glossary_term_name_id",
-        PARENT: "glossary_term_parent_term_id",
-        "glossary_term_synonyms": "glossary_term_synonyms_id",
-        "glossary_term_related": "glossary_term_related_id",
-    }
-    for column, new in lookups.items():
+    for column, new in BY_NAME.items():
         side = known.withColumnsRenamed({"Name": "_name", "ID": new})
-        rows = rows.join(side, F.col(column) == F.col("_name"), "left").drop("_name")
-        if column != NAME:
-            rows = rows.drop(column)
+        rows = left_lookup(rows, side, {column: "_name"}).drop("_name", *[column] * (column != NAME))
     return rows.na.fill("")
 
 
@@ -104,6 +103,24 @@ def dedupe_by_parent_id(rows: DataFrame) -> DataFrame:
     return keep_first(rows, [NAME], [parent.asc_nulls_last(), *[F.col(c) for c in ties]])
 
 
+def first_by_name(rows: DataFrame, full_terms: DataFrame) -> DataFrame:
+    """What :func:`dedupe_by_parent_id` keeps of :func:`resolve_by_name`.
+
+    The matches of a row's four names are combined freely, so the first combination
+    holds the first id of each name by itself: the least, and for a parent the least
+    that isn't empty. Each lookup takes that one id, and a name held in any number
+    of domains never makes more than one row of a row.
+    """
+    known = full_terms.select(F.col("Name").cast("string").alias("_name"), F.coalesce("ID", F.lit("")).alias("_id"))
+    least = known.where(F.col("_name").isNotNull()).groupBy("_name").agg(
+        F.min("_id").alias("_any"), F.min(F.nullif(F.col("_id"), F.lit(""))).alias("_parent")
+    )
+    for column, new in BY_NAME.items():
+        side = least.select("_name", F.col("_parent" if column == PARENT else "_any").alias(new))
+        rows = left_lookup(rows, side, {column: "_name"}).drop("_name", *[column] * (column != NAME))
+    return dedupe_by_parent_id(rows.na.fill(""))
+
+
 def parent_ids(rows: DataFrame, terms: DataFrame, statuses: DataFrame | None = None) -> DataFrame:
     """Add ``parent_id`` and ``parent_missing`` to rows that have a domain id.
 
@@ -132,6 +149,41 @@ def parent_ids(rows: DataFrame, terms: DataFrame, statuses: DataFrame | None = N
     )
 
 
+def catalog_forest(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``id, origin, name, domain, parent_id, root_id, depth, status`` of every term of
+    the catalog as it will be: those it holds, and the rows that are new to it.
+
+    ``rows`` are a load's terms, unique by name and domain id. Catalog terms name
+    their parent by id. A new row names it: a term of its domain that the catalog
+    holds, else one that is new as well. Status and depth so hold for both together;
+    a parent that is nowhere makes an orphan of a term and of all below it.
+    """
+    held = terms.select("id", F.lit("catalog").alias("origin"), "name", "domain", F.col("parentId").alias("_named"), "parentId")
+    new = rows.where(F.col(DOMAIN_ID).isNotNull() & F.col(NAME).isNotNull())
+    new = term_id(new, terms, NAME, DOMAIN_ID, "_held").where("_held IS NULL")
+    new = stage(new.select(ROW, NAME, DOMAIN_ID, PARENT, stable_id("term", F.col(DOMAIN_ID), F.col(NAME)).alias("id")))
+    found = term_id(new, terms, PARENT, DOMAIN_ID, "_catalog_parent")
+    found = resolve(found, new, {PARENT: NAME, DOMAIN_ID: DOMAIN_ID}, {"id": "_new_parent"})
+    added = found.select(
+        "id",
+        F.lit("load").alias("origin"),
+        F.col(NAME).alias("name"),
+        F.col(DOMAIN_ID).alias("domain"),
+        F.col(PARENT).alias("_named"),
+        F.coalesce("_catalog_parent", "_new_parent").alias("parentId"),
+    )
+    nodes = stage(held.unionByName(added))
+    there = nodes.select(F.col("id").alias("_there")).distinct()
+    # Roots look themselves up, so that they stay spread.
+    linked = nodes.join(there, F.coalesce("parentId", "id") == F.col("_there"), "left")
+    parent = F.when(F.col("parentId").isNotNull(), F.col("_there"))
+    linked = linked.select(F.col("id").alias(ROW), parent.alias("parent_row"), F.col("_named").isNull().alias("is_root"))
+    facts = climb(linked).nodes.select(F.col(ROW).alias("_of"), "parent_row", "root_row", "depth", "status")
+    return nodes.join(facts, F.col("id") == F.col("_of")).select(
+        "id", "origin", "name", "domain", F.col("parent_row").alias("parent_id"), F.col("root_row").alias("root_id"), "depth", "status"
+    )
+
+
 def plan_terms(file: DataFrame, domains: DataFrame, terms: DataFrame, users: DataFrame) -> DataFrame:
     """One row per (term, domain) with ``id, outcome, error, record``.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,9 @@ from stewardry.plans import (
 from stewardry.queries import inputs
 from stewardry.queries.inputs import load
 from stewardry.schemas import LAKEHOUSE_TABLE, RESOURCE_SET, SQL_TABLE
-from stewardry.session import shared_folder, tune
+from stewardry.session import shared_folder, stage, tune
 from stewardry.sources import concept_files, documents, snapshots
+from stewardry.sources.column_types import column_types
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,6 +86,16 @@ def scan_cdes(spark, sf):
     return _scanned(spark, sf, "cde", "cde_file")
 
 
+_FILES = ["domain_file", "term_file", "product_file", "asset_file", "okr_file", "cde_file", "typed_file"]
+
+
+@query
+def concept_column_types(spark, sf):
+    """What the columns of each file could be but for text."""
+    told = [column_types(load(spark, sf, name)).select(F.lit(name).alias("file"), "*") for name in _FILES]
+    return reduce(DataFrame.unionByName, told)
+
+
 def _listed_in_files(spark, rows, kind, array="value"):
     """Rows written as list documents, a file each, and read back in list order."""
     path = f"{shared_folder(spark)}/lists-{uuid.uuid4()}"
@@ -420,7 +432,7 @@ def terms_dedup(spark, sf):
 
 @query
 def terms_dedup_v1(spark, sf):
-    return terms.dedupe_by_parent_id(_resolved_by_name(spark, sf)).select(*_BY_NAME)
+    return terms.first_by_name(load(spark, sf, "term_file"), load(spark, sf, "terms_by_name")).select(*_BY_NAME)
 
 
 @query
@@ -476,6 +488,13 @@ def term_unreached(spark, sf):
     return nodes.where(F.col("status") != hierarchy.REACHED).select(ROW, "status")
 
 
+@query
+def term_forest(spark, sf):
+    """Terms of the catalog and new ones of the file, as one forest."""
+    rows = domains.domain_id(_deduped(spark, sf), load(spark, sf, "domains"), terms.DOMAIN, terms.DOMAIN_ID)
+    return terms.catalog_forest(rows, load(spark, sf, "terms"))
+
+
 # Scalars
 
 
@@ -584,10 +603,13 @@ def plan_domains(spark, sf):
     return _plan_domains(spark, sf).select(ROW, "id", "name", "parent_id", "outcome", "record")
 
 
+def _plan_terms(spark, sf):
+    return terms.plan_terms(*[load(spark, sf, n) for n in ("term_file", "domains", "terms", "users")])
+
+
 @query
 def plan_terms(spark, sf):
-    plan = terms.plan_terms(*[load(spark, sf, n) for n in ("term_file", "domains", "terms", "users")])
-    return plan
+    return _plan_terms(spark, sf)
 
 
 def _plan_products(spark, sf):
@@ -707,26 +729,31 @@ def load_report(spark, sf):
     return outcomes.report(*_main_outcomes(spark, sf))
 
 
-@query
-def load_report_full(spark, sf):
-    """All concepts of a load and its edges."""
-    terms_file = [load(spark, sf, n) for n in ("term_file", "domains", "terms", "users")]
-    elements = _plan_cdes(spark, sf).withColumnRenamed("action", "outcome")
-    planned = _planned_assets(spark, sf)
+def _edge_tables(spark, sf, planned_assets):
+    """Every kind of edge a load plans, with outcomes."""
     resolved = _resolved(spark, sf)
     with_product = terms.with_product(resolved, load(spark, sf, "products"))
-    edge_tables = {
+    return {
         "synonym": edges.synonym_edges(resolved),
         "related": edges.related_edges(resolved),
         "term_product": edges.product_edges(with_product),
-        "product_asset": edges.asset_edges(edges.with_products(planned, load(spark, sf, "products"))),
+        "element_column": edges.cde_edges(_cde_columns(spark, sf)),
+        "product_asset": edges.asset_edges(edges.with_products(planned_assets, load(spark, sf, "products"))),
     }
+
+
+@query
+def load_report_full(spark, sf):
+    """All concepts of a load, the owners it doesn't know, and its edges."""
+    terms_file = [load(spark, sf, n) for n in ("term_file", "domains", "terms", "users")]
+    elements = _plan_cdes(spark, sf).withColumnRenamed("action", "outcome")
+    planned = _planned_assets(spark, sf)
     return outcomes.report(
         *_main_outcomes(spark, sf),
         outcomes.outcomes(terms.plan_terms(*terms_file), "term", "name"),
-        outcomes.outcomes(elements, "cde", "name"),
+        outcomes.outcomes_and_owners(elements, "cde", "name", "unknown_owners"),
         outcomes.outcomes(planned, "asset", "fqn"),
-        *[t.withColumn("concept", F.lit(name)) for name, t in edge_tables.items()],
+        *[t.withColumn("concept", F.lit(name)) for name, t in _edge_tables(spark, sf, planned).items()],
     )
 
 
@@ -741,3 +768,126 @@ def next_snapshot(spark, sf):
     catalog = load(spark, sf, "products").select("id", "name", "type")
     new = apply.created(_plan_products(spark, sf), {"id": "id", "name": "name", "type": "type"})
     return apply.next_snapshot(catalog, new, ["name"])
+
+
+# The shape of each concept's list, from the columns of its plan.
+_LISTED = {
+    "domains": {"id": "id", "name": "name", "type": "type"},
+    "terms": {"id": "id", "name": "name", "domain": "domain", "parent_id": "parentId"},
+    "products": {"id": "id", "name": "name", "type": "type"},
+    "okrs": {"id": "id", "definition": "definition", "status": "status", "domain": "domain"},
+    "cdes": {"id": "id", "name": "name", "domain": "domain", "dataType": "dataType", "status": "status"},
+}
+_KEYS = {"domains": ["name"], "terms": ["name", "domain"], "products": ["name"], "okrs": ["definition", "domain"], "cdes": ["name", "domain"]}
+
+
+def _listed(spark, sf, name):
+    return load(spark, sf, name).select(*_LISTED[name].values())
+
+
+def _inserted(spark, sf, name, plan, outcome=outcomes.CREATED):
+    new = apply.created(plan, {ROW: ROW, **_LISTED[name]}, outcome)
+    return apply.merge(_listed(spark, sf, name), _KEYS[name], new)
+
+
+@query
+def next_snapshot_domains(spark, sf):
+    return _inserted(spark, sf, "domains", _plan_domains(spark, sf))
+
+
+@query
+def next_snapshot_terms(spark, sf):
+    return _inserted(spark, sf, "terms", _plan_terms(spark, sf))
+
+
+@query
+def next_snapshot_okrs(spark, sf):
+    return _inserted(spark, sf, "okrs", _plan_okrs(spark, sf))
+
+
+@query
+def next_snapshot_cdes(spark, sf):
+    plan = _plan_cdes(spark, sf).withColumnRenamed("action", "outcome")
+    return _inserted(spark, sf, "cdes", plan, cdes.CREATE)
+
+
+@query
+def next_snapshot_assets(spark, sf):
+    columns = ["id", "name", "type", "dataMapAssetId", "description"]
+    file = load(spark, sf, "asset_file").withColumnsRenamed({"data_asset_fqn": "fqn", "data_asset_account": "account"})
+    built = _plan_paths(spark, sf, file).where(F.col("outcome") == assets.CREATE)
+    new = built.select(
+        F.col("asset_id").alias("id"), F.col("asset_name").alias("name"), "type", F.col("guid").alias("dataMapAssetId"), "description", "fqn"
+    )
+    held = load(spark, sf, "assets").select(*columns)
+    return apply.merge(held, ["id"], new, order=F.col("fqn")).select(*columns)
+
+
+@query
+def next_snapshot_edges(spark, sf):
+    tables = _edge_tables(spark, sf, _planned_assets(spark, sf)).values()
+    new = reduce(DataFrame.unionByName, [edges.planned(t) for t in tables])
+    key = [c for c in edges.EDGE if c != "description"]
+    return apply.merge(load(spark, sf, "edges"), key, new, order=F.col("description"))
+
+
+@query
+def next_snapshot_policies(spark, sf):
+    changed = policies.merge_members(
+        _loaded(spark, sf), load(spark, sf, "policies"), inputs.policy_documents(spark, sf), load(spark, sf, "users")
+    )
+    return apply.merge(inputs.policy_documents(spark, sf), ["id"], replaces=changed, order=F.col("document"))
+
+
+@query
+def published_load(spark, sf):
+    """Products and objectives before a load, after it, and after the same load again,
+    read back from a store that holds each as one version."""
+    store = apply.Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4()}")
+    plans = {
+        "products": lambda held: products.plan_products(
+            load(spark, sf, "product_file"), load(spark, sf, "domains"), held["products"], load(spark, sf, "users")
+        ),
+        "okrs": lambda held: okrs.plan_okrs(load(spark, sf, "okr_file"), load(spark, sf, "domains"), held["okrs"], load(spark, sf, "users")),
+    }
+    store.publish({name: _listed(spark, sf, name) for name in plans})
+    for _ in range(2):
+        held = {name: store.read(name) for name in plans}
+        numbered = {name: rows.withColumn(ROW, F.col("id")) for name, rows in held.items()}
+        after = {}
+        for name, plan in plans.items():
+            new = apply.created(plan(numbered), {ROW: ROW, **_LISTED[name]})
+            after[name] = apply.merge(held[name], _KEYS[name], new)
+        store.publish(after)
+    parts = [
+        store.read(name, version).select(F.lit(version).alias("version"), F.lit(name).alias("concept"), "id", F.col(_KEYS[name][0]).alias("name"))
+        for version in store.versions()
+        for name in plans
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Answers to a load
+
+
+def _reconciled(spark, sf):
+    return outcomes.reconcile(_plan_terms(spark, sf), load(spark, sf, "term_answers"), ["name", "domain"])
+
+
+@query
+def answers_reconciled(spark, sf):
+    return _reconciled(spark, sf)
+
+
+@query
+def next_snapshot_confirmed(spark, sf):
+    plan = stage(_plan_terms(spark, sf))
+    told = outcomes.reconcile(plan, load(spark, sf, "term_answers"), ["name", "domain"])
+    return _inserted(spark, sf, "terms", outcomes.confirmed(plan, told))
+
+
+@query
+def edges_released(spark, sf):
+    resolved = _resolved(spark, sf)
+    planned = edges.synonym_edges(resolved).unionByName(edges.related_edges(resolved))
+    return _edges(outcomes.release(planned, _reconciled(spark, sf)))

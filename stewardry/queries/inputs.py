@@ -90,15 +90,18 @@ NO_TEXT = "cast(null as string)"
 KEYS = {"orders": "o_orderkey"}
 K, O, P, S = "c_custkey", "o_orderkey", "p_partkey", "s_suppkey"
 CUSTOMER_NAME = numbered("Customer", "o_custkey")
-ORDER_DOMAIN = f"('Brand#' || {text('o_custkey % 26')})"
+# Domains of orders: those of customers, of whom some are in the catalog, and brands.
+_OF_CUSTOMER = "o_custkey % 4 = 0"
+ORDER_DOMAIN = f"CASE WHEN {_OF_CUSTOMER} THEN {numbered('Customer', 'o_custkey')} ELSE 'Brand#' || {text('o_custkey % 26')} END"
+ORDER_DOMAIN_ID = f"'dom-' || CASE WHEN {_OF_CUSTOMER} THEN {text('o_custkey')} ELSE 'Brand#' || {text('o_custkey % 26')} END"
 BILLION = 1_000_000_000
 # Element files name no account; a load of them has one.
 CDE_ACCOUNT = "acct-0"
 
 
-def _tree(domain: str) -> dict[str, str]:
+def _tree(domain: str, name: str = "c_name") -> dict[str, str]:
     return {
-        "glossary_term_name": "c_name",
+        "glossary_term_name": name,
         "business_domain_name": f"'{domain}'",
         "glossary_term_parent_term": (
             f"CASE WHEN {K} < 10 THEN null WHEN {K} = 20 THEN {numbered('Customer', '21')} "
@@ -119,6 +122,11 @@ def _tree(domain: str) -> dict[str, str]:
     }
 
 
+def _policy(prefix: str, of_domain: str) -> str:
+    """A policy's name: some are of domains that are gone."""
+    return f"'{prefix}' || CASE WHEN {of_domain} THEN 'dom-' ELSE 'gone-' END || {text(K)}"
+
+
 INPUTS: dict[str, list[Branch]] = {
     "domains": [
         Branch("customer", {"id": f"'dom-' || {text(K)}", "name": only_some(f"{K} % 3 = 0", "c_name"), "type": "'FunctionalUnit'", "_row": K}),
@@ -169,7 +177,7 @@ INPUTS: dict[str, list[Branch]] = {
     ],
     "term_file": [
         Branch("customer", {**_tree("Brand#1"), "_row": K}),
-        Branch("customer", {**_tree("Brand#2"), "_row": f"{BILLION} + {K}"}, f"{K} % 5 <> 0"),
+        Branch("customer", {**_tree("Brand#2", only_some(f"{K} % 5 <> 0", "c_name")), "_row": f"{BILLION} + {K}"}),
         Branch(
             "part",
             {
@@ -271,7 +279,7 @@ INPUTS: dict[str, list[Branch]] = {
                 "id": f"'okr-' || {text(O)}",
                 "definition": only_some(f"{O} % 4 = 0", f"o_orderpriority || '-' || {text(f'{O} - {O} % 3')}"),
                 "status": "o_orderstatus",
-                "domain": f"'dom-' || {ORDER_DOMAIN}",
+                "domain": ORDER_DOMAIN_ID,
                 "_row": O,
             },
         )
@@ -297,7 +305,7 @@ INPUTS: dict[str, list[Branch]] = {
             "orders",
             {
                 "name": only_some(f"{O} % 6 = 0", f"'Element ' || {text(whole(f'{O} / 2'))}"),
-                "domain": f"'dom-' || {ORDER_DOMAIN}",
+                "domain": ORDER_DOMAIN_ID,
                 "dataType": "'Text'",
                 "status": "o_orderstatus",
                 "id": f"'cde-' || {text(O)}",
@@ -365,16 +373,8 @@ INPUTS: dict[str, list[Branch]] = {
         )
     ],
     "policies": [
-        Branch(
-            "customer",
-            {"id": f"'pol-d-' || {text(K)}", "name": f"'{DOMAIN_POLICY}dom-' || {text(K)}"},
-            f"{K} % 3 = 0 AND {K} % 9 <> 0",
-        ),
-        Branch(
-            "customer",
-            {"id": f"'pol-q-' || {text(K)}", "name": f"'{QUALITY_POLICY}dom-' || {text(K)}"},
-            f"{K} % 6 = 0",
-        ),
+        Branch("customer", {"id": f"'pol-d-' || {text(K)}", "name": _policy(DOMAIN_POLICY, f"{K} % 3 = 0 AND {K} % 9 <> 0")}),
+        Branch("customer", {"id": f"'pol-q-' || {text(K)}", "name": _policy(QUALITY_POLICY, f"{K} % 6 = 0")}),
     ],
     "answers": [
         Branch(
@@ -401,6 +401,54 @@ INPUTS: dict[str, list[Branch]] = {
     ],
 }
 
+# Cells of all types, and columns whose cells disagree.
+INPUTS["typed_file"] = [
+    Branch(
+        "orders",
+        {
+            "_row": O,
+            "whole": text(O),
+            "number": f"CASE WHEN {O} % 5 = 0 THEN {text(O)} ELSE {text(O)} || '.25' END",
+            "day": "cast(cast(o_orderdate as date) as string)",
+            "moment": f"cast(cast(o_orderdate as date) as string) || CASE WHEN {O} % 3 = 0 THEN '' ELSE ' 10:20:30' END",
+            "flag": f"CASE WHEN {O} % 7 = 0 THEN null WHEN {O} % 2 = 0 THEN 'TRUE' ELSE 'false' END",
+            "mixed": f"CASE WHEN {O} % 1000 = 999 THEN 'n/a' WHEN {O} % 400 = 399 THEN 'true' ELSE {text(O)} END",
+            "word_first": f"CASE WHEN {O} = 0 THEN 'none' ELSE {text(O)} END",
+            "nothing": NO_TEXT,
+            "no_day": f"CASE WHEN {O} % 900 = 899 THEN '2020-13-45' ELSE '2020-01-31' END",
+        },
+    )
+]
+# Edges the catalog holds already; some of them are planned again.
+INPUTS["edges"] = [
+    Branch(
+        "customer",
+        {
+            "source_id": f"'trm-1-' || {text(K)}",
+            "target_id": f"'trm-1-' || {text(whole(f'{K} / 2'))}",
+            "entity_type": "'Term'",
+            "relationship_type": "'Synonym'",
+            "description": "'held'",
+        },
+    )
+]
+# Several answers to a term's creation, some to terms that no file names.
+INPUTS["term_answers"] = [
+    Branch(
+        "events",
+        {
+            "_row": "event_id",
+            "name": f"CASE WHEN {whole('event_id / 6')} % 10 = 0 THEN 'Never asked ' || {text('event_id')} ELSE {numbered('Customer', whole('event_id / 6'))} END",
+            "domain": "CASE WHEN event_id % 2 = 0 THEN 'dom-Brand#1' ELSE 'dom-Brand#2' END",
+            "operation": "'term'",
+            "code": INPUTS["answers"][0].columns["code"],
+            "text": "props",
+            "status": NO_TEXT,
+            "type": NO_TEXT,
+            "id": NO_TEXT,
+        },
+    )
+]
 # A list of names to put rows in order by; some names are listed twice.
 INPUTS["wanted"] = [
     Branch("customer", {"position": f"{BILLION} - {K}", "key": "c_name"}, f"{K} % 2 = 0"),
@@ -426,12 +474,13 @@ ASSET_TYPE = (
     f"CASE {O} % 5 WHEN 0 THEN '{SQL_TABLE}' WHEN 1 THEN '{RESOURCE_SET}' WHEN 2 THEN '{LAKEHOUSE_TABLE}' "
     f"WHEN 3 THEN '{REPORT}' ELSE 'hive_table' END"
 )
-# What the documents say, by asset; an asset with no document is not in here.
+# What the documents say, by asset; some are of assets that no path leads to, and
+# leave one without a document.
 INPUTS["entities"] = [
     Branch(
         "orders",
         {
-            "guid": f"'g-' || {text(O)}",
+            "guid": f"CASE WHEN {O} % 29 <> 0 THEN 'g-' ELSE 'gone-' END || {text(O)}",
             "asset_key": O,
             "asset_type": ASSET_TYPE,
             "display_name": f"'Order ' || {text(O)}",
@@ -440,7 +489,6 @@ INPUTS["entities"] = [
             "classification": f"CASE WHEN {O} % 2 = 0 THEN 'C' || {text(f'{O} % 3')} END",
             "schema_guid": f"CASE WHEN {O} % 5 = 1 AND {O} % 31 <> 0 THEN 's-' || {text(O)} END",
         },
-        f"{O} % 29 <> 0",
     )
 ]
 # Stores an asset's lineage names, first to last; the last one counts.
@@ -448,11 +496,10 @@ INPUTS["lineages"] = [
     Branch(
         "orders",
         {
-            "guid": f"'g-' || {text(O)}",
+            "guid": f"CASE WHEN {O} % 5 = 2 OR {O} % 2 = 0 THEN 'g-' ELSE 'lone-' END || {text(O)}",
             "first_store": f"CASE WHEN {O} % 5 = 2 AND {O} % 4 > 1 THEN 'm-' || {text(f'{O} % 7')} END",
             "last_store": f"CASE WHEN {O} % 5 = 2 AND {O} % 4 > 0 THEN 'm-' || {text(f'{O} % 120')} END",
         },
-        f"{O} % 5 = 2 OR {O} % 2 = 0",
     )
 ]
 INPUTS["metastores"] = [

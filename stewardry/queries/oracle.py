@@ -7,6 +7,7 @@ recursive queries are fine here, as the tables of a check are small.
 from __future__ import annotations
 
 from stewardry.queries.inputs import CDE_ACCOUNT, INPUTS, as_sql, lines_sql
+from stewardry.sources.column_types import DATE_CELL, NUMBER_CELL, TIMESTAMP_CELL, WHOLE_CELL
 from stewardry.schemas import DOMAIN_POLICY, LAKEHOUSE_TABLE, QUALITY_POLICY, REPORT, RESOURCE_SET, SQL_TABLE
 
 NAME, DOMAIN, PARENT = "glossary_term_name", "business_domain_name", "glossary_term_parent_term"
@@ -831,17 +832,14 @@ def policy_rule(name: str, items: str) -> str:
 
 MERGED = f"list_concat(h.included, {NEW.format('h.included')})"
 NOBODY = "[]::VARCHAR[]"
-oracle(
-    "policy_merge",
-    f"""SELECT h.id, '{{"id":"' || h.id || '","name":"' || h.name || '","properties":{{"attributeRules":[' ||
+MERGED_POLICIES = f"""SELECT h.id, '{{"id":"' || h.id || '","name":"' || h.name || '","properties":{{"attributeRules":[' ||
       {policy_rule('member', MERGED)} || CASE WHEN h.name LIKE '{QUALITY_POLICY}%' THEN ',' || {policy_rule('reader', NOBODY)}
         || ',' || {policy_rule('steward', 'm.members')} ELSE '' END ||
       '],"collection":{{"number":' || cast(h.k AS varchar) || ',"type":"CollectionReference"}},"decisionRules":[{{"effect":"Permit","kind":"decisionrule"}}],'
       || '"description":"policy"}},"version":1}}' AS document
     FROM held h JOIN members m ON h.name IN ('{DOMAIN_POLICY}' || m.id, '{QUALITY_POLICY}' || m.id)
-    WHERE len({NEW.format('h.included')}) > 0 OR (h.name LIKE '{QUALITY_POLICY}%' AND len(m.members) > 0)""",
-    "held", "members",
-)
+    WHERE len({NEW.format('h.included')}) > 0 OR (h.name LIKE '{QUALITY_POLICY}%' AND len(m.members) > 0)"""
+oracle("policy_merge", MERGED_POLICIES, "held", "members")
 HAS_TEXTS = "contains(text, 'Error converting value') AND contains(text, 'entityId')"
 oracle(
     "classify_outcomes",
@@ -866,12 +864,15 @@ oracle(
     GROUP BY concept, outcome""",
     "r_domains", "c_products", "r_okrs", "o_okrs",
 )
+ELEMENT_ENDS = "(SELECT cde_id AS source_id, column_id FROM k_cdes UNION ALL SELECT asset_id, column_id FROM k_cdes)"
 EDGES = {
     "synonym": edge_sql(TERM_ID, "synonyms_uuid", "Term", "Synonym", "r_terms"),
     "related": edge_sql(TERM_ID, "related_uuid", "Term", "related", "r_terms"),
     "term_product": edge_sql(TERM_ID, "product_id", "DataProduct", "related", TERM_PRODUCTS),
+    "element_column": edge_sql("source_id", "column_id", "CriticalDataColumn", "Related", ELEMENT_ENDS),
     "product_asset": edge_sql("product_id", "target", "DataAsset", "Related", PRODUCT_ASSETS, "description"),
 }
+EDGE_NEEDS = ("r_terms", "x_products", "k_cdes", "x_asset_file", "usable_assets")
 oracle(
     "load_report_full",
     f"""SELECT concept, outcome, count(*) AS rows FROM (
@@ -881,11 +882,13 @@ oracle(
         SELECT unnest(o.bad) FROM r_okrs r JOIN o_okrs o ON o.cell = r.owner WHERE r.error IS NULL)
       UNION ALL SELECT 'term', CASE WHEN domain_id IS NULL THEN 'failed' WHEN own_id IS NOT NULL THEN 'existing' ELSE 'created' END FROM p_terms
       UNION ALL SELECT 'cde', action FROM r_cdes
+      UNION ALL SELECT 'cde_owner', 'failed' FROM (
+        SELECT unnest(o.bad) FROM r_cdes r JOIN o_cdes o ON o.cell = r.cde_owner WHERE r.action <> 'failed')
       UNION ALL SELECT 'asset', CASE WHEN a.kept_id IS NOT NULL THEN 'reuse' WHEN a.guid IS NOT NULL THEN coalesce(a.built, 'failed') ELSE 'failed' END
         FROM x_asset_file f LEFT JOIN asset_by_path a ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account
       {" ".join(f"UNION ALL SELECT '{name}', outcome FROM ({sql})" for name, sql in EDGES.items())})
     GROUP BY concept, outcome""",
-    "r_domains", "c_products", "r_okrs", "o_okrs", "p_terms", "r_cdes", "x_asset_file", "asset_by_path", "r_terms", "x_products", "usable_assets",
+    "r_domains", "c_products", "r_okrs", "o_okrs", "p_terms", "r_cdes", "o_cdes", "asset_by_path", *EDGE_NEEDS,
 )
 oracle("outcome_names", "SELECT dp_name AS key FROM c_products WHERE outcome = 'created'", "c_products")
 oracle(
@@ -894,3 +897,175 @@ oracle(
     SELECT {new_id('product', 'dp_name')}, dp_name, dp_type FROM c_products WHERE outcome = 'created'""",
     "x_products", "c_products",
 )
+
+NEXT = {
+    "domains": f"""SELECT id, name, type FROM x_domains UNION ALL
+    SELECT {new_id('domain', DOMAIN)}, {DOMAIN}, business_domain_type FROM r_domains WHERE outcome = 'created'""",
+    "terms": f"""SELECT id, name, domain, parentId FROM x_terms UNION ALL
+    SELECT {new_id('term', 'domain_id', NAME)}, {NAME}, domain_id, parent_id FROM p_terms WHERE domain_id IS NOT NULL AND own_id IS NULL""",
+    "okrs": f"""SELECT id, definition, status, domain FROM x_okrs UNION ALL
+    SELECT {new_id('okr', 'domain_id', 'definition')}, definition, status, domain_id FROM r_okrs WHERE outcome = 'created'""",
+    "cdes": """SELECT id, name, domain, dataType, status FROM x_cdes UNION ALL
+    SELECT cde_id, cde_name, domain_id, cde_dataType, cde_status FROM r_cdes WHERE action = 'create'""",
+    "assets": """SELECT id, name, type, dataMapAssetId, description FROM x_assets UNION ALL
+    SELECT DISTINCT a.new_asset_id, r.name, r.type, a.guid, r.description
+    FROM x_asset_file f JOIN asset_by_path a ON a.fqn = f.data_asset_fqn AND a.account = f.data_asset_account
+    JOIN r_assets r ON r.guid = a.guid WHERE a.kept_id IS NULL AND a.built = 'create'""",
+}
+NEXT_NEEDS = {
+    "domains": ("x_domains", "r_domains"),
+    "terms": ("x_terms", "p_terms"),
+    "okrs": ("x_okrs", "r_okrs"),
+    "cdes": ("x_cdes", "r_cdes"),
+    "assets": ("x_assets", "x_asset_file", "asset_by_path", "r_assets"),
+}
+for concept, sql in NEXT.items():
+    oracle(f"next_snapshot_{concept}", sql, *NEXT_NEEDS[concept])
+ENDS = "source_id, target_id, entity_type, relationship_type"
+oracle(
+    "next_snapshot_edges",
+    f"""SELECT {ENDS}, description FROM x_edges UNION ALL
+    SELECT {ENDS}, min(description) FROM ({" UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in EDGES.values())}) p
+    WHERE outcome = 'planned' AND NOT EXISTS (SELECT 1 FROM x_edges e WHERE e.source_id = p.source_id AND e.target_id = p.target_id
+      AND e.entity_type = p.entity_type AND e.relationship_type = p.relationship_type)
+    GROUP BY {ENDS}""",
+    "x_edges", *EDGE_NEEDS,
+)
+
+
+def given_rule(name: str, items: str) -> str:
+    return (
+        f"""'{{"kind":"attributerule","name":"{name}","dnfCondition":[[{{"attributeName":"principal.id","attributeValueIncludedIn":' || """
+        + text_list(items)
+        + """ || '},{"attributeName":"principal.group","attributeValueIncludedIn":["everyone"]}]]}'"""
+    )
+
+
+oracle(
+    "next_snapshot_policies",
+    f"""SELECT h.id, coalesce(c.document, '{{"id":"' || h.id || '","name":"' || h.name || '","version":1,"properties":{{"description":"policy","attributeRules":['
+      || {given_rule('member', 'h.included')} || CASE WHEN h.name LIKE '{QUALITY_POLICY}%' THEN ',' || {given_rule('reader', NOBODY)}
+        || ',' || {given_rule('steward', NOBODY)} ELSE '' END
+      || '],"decisionRules":[{{"kind":"decisionrule","effect":"Permit"}}],"collection":{{"type":"CollectionReference","number":'
+      || cast(h.k AS varchar) || '}}}}}}') AS document
+    FROM held h LEFT JOIN ({MERGED_POLICIES}) c ON c.id = h.id""",
+    "held", "members",
+)
+step(
+    "after_load",
+    f"""
+    SELECT 'products' AS concept, id, name FROM x_products UNION ALL
+    SELECT 'products', {new_id('product', 'dp_name')}, dp_name FROM c_products WHERE outcome = 'created' UNION ALL
+    SELECT 'okrs', id, definition FROM ({NEXT['okrs']})""",
+    "x_products", "c_products", *NEXT_NEEDS["okrs"],
+)
+oracle(
+    "published_load",
+    """SELECT 1 AS version, 'products' AS concept, id, name FROM x_products UNION ALL SELECT 1, 'okrs', id, definition FROM x_okrs
+    UNION ALL SELECT v, concept, id, name FROM after_load, (VALUES (2), (3)) t(v)""",
+    "after_load",
+)
+step(
+    "told_terms",
+    """
+    SELECT name, domain, CASE arg_max(code, _row) WHEN 201 THEN 'created' WHEN 409 THEN 'existing' ELSE 'failed' END AS answer,
+      count(*) AS answers FROM x_term_answers GROUP BY name, domain""",
+    "x_term_answers",
+)
+step(
+    "reconciled",
+    f"""
+    SELECT coalesce(p.{NAME}, t.name) AS name, coalesce(p.domain_id, t.domain) AS domain, p.id, t.answer,
+      coalesce(t.answers, 0) AS answers, CASE WHEN p.{NAME} IS NULL THEN 'stray' WHEN t.answer IS NULL THEN 'missing'
+        WHEN t.answer = 'created' THEN 'confirmed' ELSE 'refused' END AS status
+    FROM (SELECT {NAME}, domain_id, {new_id('term', 'domain_id', NAME)} AS id FROM p_terms WHERE domain_id IS NOT NULL AND own_id IS NULL) p
+    FULL JOIN told_terms t ON t.name = p.{NAME} AND t.domain = p.domain_id""",
+    "p_terms", "told_terms",
+)
+step("waiting", "SELECT id FROM reconciled WHERE status IN ('missing', 'refused')", "reconciled")
+oracle("answers_reconciled", "SELECT * FROM reconciled", "reconciled")
+oracle(
+    "next_snapshot_confirmed",
+    """SELECT id, name, domain, parentId FROM x_terms UNION ALL
+    SELECT r.id, r.name, r.domain, p.parent_id FROM reconciled r JOIN p_terms p ON p.glossary_term_name = r.name AND p.domain_id = r.domain
+    WHERE r.status = 'confirmed'""",
+    "x_terms", "reconciled", "p_terms",
+)
+oracle(
+    "edges_released",
+    f"""SELECT e.* EXCLUDE (outcome), CASE WHEN outcome = 'planned' AND (source_id IN (SELECT id FROM waiting) OR target_id IN (SELECT id FROM waiting))
+      THEN 'held_back' ELSE outcome END AS outcome FROM ({EDGES['synonym']} UNION ALL {EDGES['related']}) e""",
+    "r_terms", "waiting",
+)
+
+
+def cells_sql(name: str) -> str:
+    """Every cell of a file, by column."""
+    columns = [c for c in INPUTS[name][0].columns if c != "_row"]
+    pick = ", ".join(f"{{'name': '{c}', 'cell': cast(\"{c}\" AS varchar)}}" for c in columns)
+    return f"SELECT '{name}' AS file, spot, unnest(one, recursive := true) FROM (SELECT _row AS spot, unnest([{pick}]) AS one FROM x_{name})"
+
+
+FILES = ("domain_file", "term_file", "product_file", "asset_file", "okr_file", "cde_file", "typed_file")
+oracle(
+    "concept_column_types",
+    f"""SELECT file, name AS "column", CASE WHEN other IS NOT NULL OR first.family = 'textual' THEN 'text'
+        WHEN first.family = 'numeric' THEN CASE WHEN numbers THEN 'number' ELSE 'whole' END
+        WHEN first.family = 'temporal' THEN CASE WHEN moments THEN 'timestamp' ELSE 'date' END
+        WHEN first.family = 'logical' THEN 'boolean' END AS type,
+      cells, other.spot AS conflict_row, other.cell AS conflict
+    FROM (
+      SELECT file, name, min(lead) AS first, count(cell) AS cells, bool_or(type = 'number') AS numbers, bool_or(type = 'timestamp') AS moments,
+        min(CASE WHEN family <> lead.family AND lead.family <> 'textual' THEN {{'spot': spot, 'cell': cell, 'family': family}} END) AS other
+      FROM (
+        SELECT *, min(CASE WHEN family IS NOT NULL THEN {{'spot': spot, 'cell': cell, 'family': family}} END) OVER (PARTITION BY file, name) AS lead
+        FROM (
+          SELECT *, CASE WHEN type IN ('whole', 'number') THEN 'numeric' WHEN type = 'boolean' THEN 'logical'
+            WHEN type IN ('date', 'timestamp') THEN 'temporal' WHEN type = 'text' THEN 'textual' END AS family
+          FROM (
+            SELECT *, CASE WHEN cell IS NULL THEN NULL WHEN regexp_matches(cell, '{WHOLE_CELL}') THEN 'whole'
+              WHEN regexp_matches(cell, '{NUMBER_CELL}') THEN 'number' WHEN lower(cell) IN ('true', 'false') THEN 'boolean'
+              WHEN regexp_matches(cell, '{DATE_CELL}') AND try_cast(cell AS date) IS NOT NULL THEN 'date'
+              WHEN regexp_matches(cell, '{TIMESTAMP_CELL}') AND try_cast(cell AS timestamp) IS NOT NULL THEN 'timestamp' ELSE 'text' END AS type
+            FROM ({" UNION ALL ".join(cells_sql(f) for f in FILES)}))))
+      GROUP BY file, name)""",
+    *[f"x_{f}" for f in FILES],
+)
+step(
+    "new_terms",
+    f"SELECT r.*, {new_id('term', 'domain_id', NAME)} AS new_id FROM r_terms r WHERE domain_id IS NOT NULL AND own_id IS NULL AND {NAME} IS NOT NULL",
+    "r_terms",
+)
+step(
+    "forest_nodes",
+    f"""
+    SELECT id, 'catalog' AS origin, name, domain, parentId AS named, parentId AS parent FROM x_terms
+    UNION ALL
+    SELECT n.new_id, 'load', n.{NAME}, n.domain_id, n.{PARENT}, coalesce(n.parent_uuid, p.new_id)
+    FROM new_terms n LEFT JOIN new_terms p ON p.{NAME} = n.{PARENT} AND p.domain_id = n.domain_id""",
+    "x_terms", "new_terms",
+)
+step(
+    "forest_reach",
+    """
+    SELECT id, id AS root_id, cast(0 AS bigint) AS depth FROM forest_nodes WHERE named IS NULL
+    UNION ALL
+    SELECT c.id, t.root_id, t.depth + 1 FROM forest_nodes c JOIN forest_reach t ON c.parent = t.id""",
+    "forest_nodes",
+)
+step(
+    "forest_lost",
+    """
+    SELECT id FROM forest_nodes n WHERE named IS NOT NULL AND NOT EXISTS (SELECT 1 FROM forest_nodes p WHERE p.id = n.parent)
+    UNION ALL
+    SELECT c.id FROM forest_nodes c JOIN forest_lost t ON c.parent = t.id""",
+    "forest_nodes",
+)
+oracle(
+    "term_forest",
+    """SELECT n.id, n.origin, n.name, n.domain, CASE WHEN p.id IS NOT NULL THEN n.parent END AS parent_id, t.root_id, t.depth,
+      CASE WHEN t.id IS NOT NULL THEN 'reached' WHEN l.id IS NOT NULL THEN 'orphan' ELSE 'cycle' END AS status
+    FROM forest_nodes n LEFT JOIN (SELECT DISTINCT id FROM forest_nodes) p ON p.id = n.parent
+    LEFT JOIN forest_reach t ON t.id = n.id LEFT JOIN forest_lost l ON l.id = n.id""",
+    "forest_nodes", "forest_reach", "forest_lost",
+)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stewardry.operators.lookup import ROW
 from stewardry.schemas import COLUMN_SPELLINGS, CONCEPT_FILES
 from stewardry.session import stage
+from stewardry.sources.split_csv import parse_records, read_records
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -22,16 +23,15 @@ def read_concepts(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """Scan the concept file or folder of files of one kind.
 
     Every column is text, as a name made of digits is still a name, and an
-    empty cell is null; the files of a folder must have the same header. ``_row`` numbers the rows in the order
-    of their file. Which task reads which file may change from one scan to the
-    next, so the numbered rows are staged: a plan that reads them twice must
-    see the same numbers. Quoted line breaks keep one file in one task, so
-    large loads come as many files.
+    empty cell is null; the files of a folder must have the same header. ``_row``
+    numbers the rows in the order of their file. Cells may hold line breaks, and a
+    large file is still read by many tasks. Lines end in a line feed, with or
+    without a carriage return before it. Rows are staged with their numbers: a plan
+    that reads them twice must see the same ones.
     """
-    raw = spark.read.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
-    rows = as_concepts(raw, kind).withColumn(ROW, F.monotonically_increasing_id())
-    # A file with line breaks in its cells is read by one task.
-    return stage(rows.repartition(F.col(ROW)))
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    rows = parse_records(read_records(spark, path), names, {**CSV_OPTIONS, "header": "false"})
+    return stage(as_concepts(rows.withColumnRenamed("line", ROW), kind))
 
 
 def as_concepts(raw: DataFrame, kind: str) -> DataFrame:

@@ -258,3 +258,37 @@ def test_answers(spark):
     )
     out = [r.outcome for r in outcomes.classify(rows).orderBy("i").collect()]
     assert out == [c[-1] for c in cases]
+
+
+def test_answers_against_a_plan(spark):
+    plan = frame(spark, "_row id name domain outcome", [
+        (0, "i1", "a", "d", "created"), (1, "i2", "b", "d", "created"), (2, "i3", "c", "d", "created"),
+        (3, "i4", "e", "d", "existing"), (4, "i5", "f", "d", "created"),
+    ])
+    told = [(0, "a", "d", 500), (1, "a", "d", 201), (2, "b", "d", 201), (3, "b", "d", 400), (4, "z", "d", 201), (5, None, "d", 201), (6, "f", "d", 409)]
+    answers = spark.createDataFrame(
+        [(i, n, d, "term", c, None, None, None, None) for i, n, d, c in told],
+        "_row long, name string, domain string, operation string, code int, text string, status string, type string, id string",
+    )
+    found = outcomes.reconcile(plan, answers, ["name", "domain"])
+    assert {r.name: (r.id, r.status, r.answer, r.answers) for r in found.collect()} == {
+        "a": ("i1", "confirmed", "created", 2), "b": ("i2", "refused", "failed", 2), "c": ("i3", "missing", None, 0),
+        "f": ("i5", "refused", "existing", 1), "z": (None, "stray", "created", 1),
+    }
+    assert [r.id for r in outcomes.confirmed(plan, found).collect()] == ["i1"]
+    ends = frame(spark, "source_id target_id outcome", [("i1", "x", "planned"), ("i2", "x", "planned"), ("x", "i3", "planned"), ("i3", None, "skipped_no_target")])
+    assert sorted((r.source_id, r.outcome) for r in outcomes.release(ends, found).collect()) == [
+        ("i1", "planned"), ("i2", "held_back"), ("i3", "skipped_no_target"), ("x", "held_back"),
+    ]
+
+
+def test_first_loader_without_fan_out(spark):
+    known = frame(spark, "Name ID", [("root", f"{i:04}") for i in range(1000)] + [("held", None), ("held", ""), ("held", "7"), ("child", None)])
+    file = term_file(spark)
+    kept = terms.first_by_name(file, known)
+    wanted = terms.dedupe_by_parent_id(terms.resolve_by_name(file.where("_row NOT IN (0, 1, 2, 9)"), known))
+    assert {tuple(r) for r in wanted.collect()} <= {tuple(r) for r in kept.select(*wanted.columns).collect()}
+    rows = {r.glossary_term_name: r for r in kept.collect()}
+    assert len(rows) == kept.count() and rows["root"].glossary_term_name_id == "0000"
+    assert (rows["child"]._row, rows["child"].glossary_term_parent_term_id) == (1, "0000")
+    assert (rows["under"].glossary_term_parent_term_id, rows["held"].glossary_term_name_id) == ("7", "")

@@ -29,6 +29,7 @@ from stewardry.queries.inputs import load
 from stewardry.schemas import LAKEHOUSE_TABLE, RESOURCE_SET, SQL_TABLE
 from stewardry.session import shared_folder, stage, tune
 from stewardry.sources import concept_files, documents, snapshots
+from stewardry.sources import page_manifest as manifest
 from stewardry.sources.column_types import column_types
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,28 @@ def list_policies(spark, sf):
     return _listed_in_files(spark, rows, "policies", "values")
 
 
+def _policy_pages(spark, sf):
+    """Policies written as list documents, a file each, on every second page number."""
+    number = F.substring_index("id", "-", -1).cast("long")
+    pages = inputs.list_pages(load(spark, sf, "policies").select(number.alias(ROW), "id", "name"), ROW, "values")
+    path = f"{shared_folder(spark)}/lists-{uuid.uuid4()}"
+    pages.select((F.col("page") * 2).alias("page"), "document").write.partitionBy("page").text(path)
+    return path
+
+
+@query
+def page_manifest(spark, sf):
+    told = manifest.manifest(spark, _policy_pages(spark, sf), inputs.PAGE_TASK_BYTES)
+    return told.select("page", "bytes", "task", "status")
+
+
+@query
+def list_policies_packed(spark, sf):
+    packed = manifest.pack(spark, _policy_pages(spark, sf), f"{shared_folder(spark)}/packed-{uuid.uuid4()}", inputs.PAGE_TASK_BYTES)
+    listed = snapshots.catalog_list(packed, "policies")
+    return listed.select("id", "name", "page", F.col("_pos").cast("long").alias("place"))
+
+
 @query
 def list_users(spark, sf):
     return _listed_in_files(spark, load(spark, sf, "users").select(ROW, "mail", "id"), "users")

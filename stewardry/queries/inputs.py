@@ -95,6 +95,8 @@ _OF_CUSTOMER = "o_custkey % 4 = 0"
 ORDER_DOMAIN = f"CASE WHEN {_OF_CUSTOMER} THEN {numbered('Customer', 'o_custkey')} ELSE 'Brand#' || {text('o_custkey % 26')} END"
 ORDER_DOMAIN_ID = f"'dom-' || CASE WHEN {_OF_CUSTOMER} THEN {text('o_custkey')} ELSE 'Brand#' || {text('o_custkey % 26')} END"
 BILLION = 1_000_000_000
+# Bytes of list documents that one task takes.
+PAGE_TASK_BYTES = 20_000
 # Element files name no account; a load of them has one.
 CDE_ACCOUNT = "acct-0"
 

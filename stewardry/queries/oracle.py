@@ -6,7 +6,7 @@ recursive queries are fine here, as the tables of a check are small.
 
 from __future__ import annotations
 
-from stewardry.queries.inputs import CDE_ACCOUNT, INPUTS, as_sql, lines_sql
+from stewardry.queries.inputs import CDE_ACCOUNT, INPUTS, PAGE_TASK_BYTES, as_sql, lines_sql
 from stewardry.sources.column_types import DATE_CELL, NUMBER_CELL, TIMESTAMP_CELL, WHOLE_CELL
 from stewardry.schemas import DOMAIN_POLICY, LAKEHOUSE_TABLE, QUALITY_POLICY, REPORT, RESOURCE_SET, SQL_TABLE
 
@@ -1069,3 +1069,22 @@ oracle(
     LEFT JOIN forest_reach t ON t.id = n.id LEFT JOIN forest_lost l ON l.id = n.id""",
     "forest_nodes", "forest_reach", "forest_lost",
 )
+POLICY_KEY = "cast(split_part(id, '-', 3) AS bigint)"
+step(
+    "policy_pages",
+    """
+    SELECT 2 * page AS page, cast(sum(strlen(cast(to_json({'id': id, 'name': name}) AS varchar)) + 1) AS bigint) + 13 AS bytes
+    FROM (SELECT *, cast(floor(cast(split_part(id, '-', 3) AS bigint) / 50) AS bigint) AS page FROM x_policies) GROUP BY page""",
+    "x_policies",
+)
+oracle(
+    "page_manifest",
+    f"""SELECT page, bytes, cast((sum(bytes) OVER (ORDER BY page) - bytes) // {PAGE_TASK_BYTES} AS bigint) AS task, 'held' AS status FROM policy_pages
+    UNION ALL SELECT page + 1, NULL, NULL, 'missing' FROM policy_pages WHERE page < (SELECT max(page) FROM policy_pages)""",
+    "policy_pages",
+)
+oracle(
+    "list_policies_packed",
+    f"SELECT id, name, 2 * page AS page, place FROM ({listed('id, name', 'x_policies', POLICY_KEY, 'id')})",
+    "x_policies",
+)

@@ -19,6 +19,13 @@ JSON_PARTS = {
 }
 
 
+def page_number(path: Column) -> Column:
+    """The last number in a file's name; a file without one fails the read."""
+    name = F.regexp_extract(path, r"([0-9]+)[^0-9/]*$", 1)
+    unplaced = F.raise_error(F.concat(F.lit("no page number in "), path))
+    return F.when(name == "", unplaced).otherwise(name).cast("long")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON document file under ``path``: ``document``, ``page``.
 
@@ -26,11 +33,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     file's name, so page 10 comes after page 2. A file without a number has no
     place in the list and fails the read.
     """
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]+)[^0-9/]*$", 1)
-    unplaced = F.raise_error(F.concat(F.lit("no page number in "), F.col("_metadata.file_path")))
-    page = F.when(name == "", unplaced).otherwise(name).cast("long")
     files = spark.read.text(path, wholetext=True)
-    page = F.col("page").cast("long") if "page" in files.columns else page
+    page = F.col("page").cast("long") if "page" in files.columns else page_number(F.col("_metadata.file_path"))
     return files.select(F.col("value").alias("document"), page.alias("page"))
 
 

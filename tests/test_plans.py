@@ -292,3 +292,24 @@ def test_first_loader_without_fan_out(spark):
     assert len(rows) == kept.count() and rows["root"].glossary_term_name_id == "0000"
     assert (rows["child"]._row, rows["child"].glossary_term_parent_term_id) == (1, "0000")
     assert (rows["under"].glossary_term_parent_term_id, rows["held"].glossary_term_name_id) == ("7", "")
+
+
+def test_forest_of_catalog_and_load(spark, catalog):
+    held = frame(spark, "_row id name domain parentId", [
+        (0, "t1", "held", "d2", None), (1, "t2", "below", "d2", "t1"), (2, "t3", "lost", "d2", "gone"), (3, "t4", "turn", "d2", "t5"), (4, "t5", "round", "d2", "t4"),
+    ])
+    rows = [(0, "held", "d2", None), (1, "new", "d2", "below"), (2, "newer", "d2", "new"), (3, "root", "d1", None), (4, "stray", "d1", "held"),
+            (5, "under stray", "d1", "stray"), (6, "a", "d1", "b"), (7, "b", "d1", "a"), (8, "x", None, "root"), (9, "on lost", "d2", "lost")]
+    columns = f"_row {terms.NAME} {terms.DOMAIN_ID} {terms.PARENT}"
+    found = terms.catalog_forest(frame(spark, columns, rows), held).collect()
+    facts = {(r.origin, r.name): (r.status, r.depth) for r in found}
+    assert len(found) == len(facts) == 13
+    assert facts == {
+        ("catalog", "held"): ("reached", 0), ("catalog", "below"): ("reached", 1), ("catalog", "lost"): ("orphan", None),
+        ("catalog", "turn"): ("cycle", None), ("catalog", "round"): ("cycle", None), ("load", "new"): ("reached", 2), ("load", "newer"): ("reached", 3),
+        ("load", "root"): ("reached", 0), ("load", "stray"): ("orphan", None), ("load", "under stray"): ("orphan", None),
+        ("load", "a"): ("cycle", None), ("load", "b"): ("cycle", None), ("load", "on lost"): ("orphan", None),
+    }
+    by_name = {r.name: r for r in found}
+    assert by_name["newer"].parent_id == by_name["new"].id and by_name["newer"].root_id == "t1"
+    assert by_name["stray"].parent_id is None

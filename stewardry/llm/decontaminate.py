@@ -23,7 +23,7 @@ before any walk without losing one.
 from __future__ import annotations
 
 import math
-import uuid
+import pickle
 from collections.abc import Iterator
 from functools import reduce
 
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.llm.staging import file_system, run_folder
 from stewardry.llm.texts import U64, mix, plain_word_hashes, powers, texts_of
 
 # Edits allowed, as a part of an item's words.
@@ -51,6 +52,8 @@ CLASS_RATIO = 1.4
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
 TRIALS = 400
+# Candidates of several walks that are held before repeats go.
+MOST_WAITING = 1 << 20
 _BITMAP = 1 << 22
 _EXACT_SEED = 6
 
@@ -71,6 +74,12 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, walk: int, steps: list[int]
     return key
 
 
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, each once: a plain sort, as there may be millions."""
+    numbers = np.sort(numbers)
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])] if len(numbers) else numbers
+
+
 class LengthClass:
     """Items, or pieces of items, of about one length, and the tables of their keys."""
 
@@ -79,6 +88,9 @@ class LengthClass:
         self.lengths = sorted({len(i) for i in items})
         self.part = part
         self.allowed = np.array([self.edits(n) for n in self.lengths])
+        self.sizes = np.array([len(i) for i in items], np.int64)
+        self.limits = np.array([self.edits(len(i)) for i in items], np.int64)
+        self.flat, self.firsts = np.concatenate(items), np.cumsum(self.sizes) - self.sizes
         self.widths = np.array(self.lengths) - self.allowed
         draw = np.random.default_rng([seed, self.lengths[0]])
         span = max(SAMPLES, int(1.5 * self.lengths[0]))
@@ -100,6 +112,28 @@ class LengthClass:
     def edits(self, length: int) -> int:
         return int(self.part * length)
 
+    def near(self, pairs: np.ndarray, lows: np.ndarray, highs: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Which pairs of an item and a span of words may be close enough.
+
+        Every word of an item that stands nowhere around costs an edit. Spans that
+        overlap are looked at together, so items that share a phrase, however many,
+        are told apart by one look-up of all their words.
+        """
+        keep = np.zeros(len(pairs), bool)
+        order = np.argsort(lows, kind="stable")
+        ends = np.maximum.accumulate(highs[order])
+        cuts = np.flatnonzero(np.append(True, lows[order][1:] > ends[:-1]))
+        for first, last in zip(cuts, np.append(cuts[1:], len(order))):
+            here = order[first:last]
+            around = words[lows[here[0]] : ends[last - 1]]
+            items, at = np.unique(pairs[here, 0], return_inverse=True)
+            sizes = self.sizes[items]
+            begins = np.cumsum(sizes) - sizes
+            own = self.flat[np.repeat(self.firsts[items] - begins, sizes) + np.arange(sizes.sum())]
+            missing = np.add.reduceat((~np.isin(own, around)).astype(np.int64), begins)
+            keep[here] = (missing <= self.limits[items])[at]
+        return keep
+
     def _trials(self, draw, around: int) -> tuple[np.ndarray, np.ndarray]:
         """Items with as many random edits as are allowed, in one row of words with
         random ones around each, and ``item, place, edits`` of each."""
@@ -173,7 +207,16 @@ class LengthClass:
         starts = self.starts(words, foreign)
         if not len(starts):
             return np.zeros((0, 2), np.int64)
-        return np.unique(np.concatenate([self._hits(one, words, starts) for one in self.walks]), axis=0)
+        found, waiting, n = np.zeros(0, np.int64), [], 0
+        for one in self.walks:
+            hits = self._hits(one, words, starts)
+            # One number each; a place may lie a few words ahead of the first.
+            waiting.append((hits[:, 0] << 40) + hits[:, 1] + OFFSETS)
+            n += len(hits)
+            if n > MOST_WAITING:
+                found, waiting, n = _distinct(np.concatenate([found, *waiting])), [], 0
+        found = _distinct(np.concatenate([found, *waiting]))
+        return np.stack([found >> 40, (found & (1 << 40) - 1) - OFFSETS], axis=1)
 
 
 class ExactClass:
@@ -291,7 +334,7 @@ class Searcher:
         known = self.known[(words % U64(_BITMAP)).astype(np.int64)] & (words != 0)
         foreign = np.zeros(len(words) + 1, np.int64)
         np.cumsum(~known, out=foreign[1:])
-        opens = np.array([a for a, _ in bounds])
+        opens, closes = np.array(bounds, np.int64).reshape(-1, 2).T
         found = []
         regions: dict[tuple[int, int], list] = {}
         for one in self.exact:
@@ -302,19 +345,23 @@ class Searcher:
         for one in self.classes:
             spans: dict[tuple[int, int], list] = {}
             pairs = one.candidates(words, foreign)
+            if not len(pairs):
+                continue
             owner = np.searchsorted(opens, pairs[:, 1], "right") - 1
-            for (item, place), text in zip(pairs.tolist(), owner.tolist()):
-                # A place ahead of the first word belongs to the text that follows.
-                if place >= bounds[max(text, 0)][1]:
-                    text += 1
-                text = min(max(text, 0), len(bounds) - 1)
-                length = len(one.items[item])
-                edits = one.edits(length)
-                a, b = max(bounds[text][0], place - edits), min(bounds[text][1], place + length + 2 * edits)
+            # A place ahead of the first word belongs to the text that follows.
+            owner = np.where(pairs[:, 1] >= closes[np.maximum(owner, 0)], owner + 1, owner)
+            owner = np.clip(owner, 0, len(bounds) - 1)
+            lengths = one.sizes[pairs[:, 0]]
+            edits = one.limits[pairs[:, 0]]
+            lows = np.maximum(opens[owner], pairs[:, 1] - edits)
+            highs = np.minimum(closes[owner], pairs[:, 1] + lengths + 2 * edits)
+            there = np.flatnonzero(lows < highs)
+            there = there[one.near(pairs[there], lows[there], highs[there], words)]
+            for (item, _), text, a, b in zip(pairs[there].tolist(), owner[there].tolist(), lows[there].tolist(), highs[there].tolist()):
                 own = spans.setdefault((text, item), [])
                 if own and a <= own[-1][1]:
                     own[-1] = (own[-1][0], max(b, own[-1][1]))
-                elif a < b:
+                else:
                     own.append((a, b))
             for (text, item), own in spans.items():
                 sought = one.items[item].tolist()
@@ -343,28 +390,38 @@ class Searcher:
         return found
 
 
-_searchers: dict[object, Searcher] = {}
+_searchers: dict[str, Searcher] = {}
 
 
-def _searcher(shared) -> Searcher:
-    """The searcher of a broadcast block, built once in each worker."""
-    block, items, part, recall = shared.value
-    if block not in _searchers:
+def _searcher(file: str) -> Searcher:
+    """The searcher of a block, read once in each worker."""
+    if file not in _searchers:
         _searchers.clear()
-        _searchers[block] = Searcher(items, part, recall)
-    return _searchers[block]
+        store, path = file_system(file)
+        with store.open_input_stream(path) as source:
+            _searchers[file] = pickle.loads(source.read())
+    return _searchers[file]
 
 
-def blocks(benchmark: DataFrame, text: str, key: str, part: float, recall: float) -> list:
-    """The items as broadcasts of bounded size, however many there are."""
+def blocks(benchmark: DataFrame, text: str, key: str, part: float, recall: float) -> list[str]:
+    """Files with the searchers of blocks of bounded size, however many items there are.
+
+    Their tables are made here, one block after the other, so that a class of items
+    that can't be found fails before a document is read.
+    """
     items = benchmark.select(key, text).where(F.col(text).isNotNull())
     count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     n = max(1, math.ceil(max(count / BLOCK_ITEMS, size / BLOCK_BYTES)))
-    context = benchmark.sparkSession.sparkContext
-    out = []
+    folder, out = run_folder(benchmark.sparkSession, "items"), []
+    store, base = file_system(folder)
+    store.create_dir(base, recursive=True)
     for k in range(n):
+        # Bounded: one block.
         rows = items.where(F.pmod(F.xxhash64(text, key), F.lit(n)) == k).collect()
-        out.append(context.broadcast((uuid.uuid4().hex, sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[1], str(r[0]))), part, recall)))
+        searcher = Searcher(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[1], str(r[0]))), part, recall)
+        with store.open_output_stream(f"{base}/{k:06d}.block") as file:
+            file.write(pickle.dumps(searcher))
+        out.append(f"{folder}/{k:06d}.block")
     return out
 
 
@@ -389,9 +446,9 @@ def find_items(
     kinds = [documents.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()]
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
-    def search_in(shared):
+    def search_in(file):
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = _searcher(shared)
+            own = _searcher(file)
             for batch in batches:
                 found = own.search(texts_of(batch.column("text")))
                 if found:
@@ -420,10 +477,10 @@ def without_items(
     """The documents that hold no item, with all their columns."""
     out = documents
     place = documents.columns.index(text)
-    for shared in blocks(benchmark, item_text, item_key, most_edits, recall):
+    for file in blocks(benchmark, item_text, item_key, most_edits, recall):
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = _searcher(shared)
+        def keep(batches: Iterator[pa.RecordBatch], file=file) -> Iterator[pa.RecordBatch]:
+            own = _searcher(file)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 clean[[hit[0] for hit in own.search(texts_of(batch.column(place)))]] = False

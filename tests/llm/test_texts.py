@@ -154,3 +154,18 @@ def test_search_finds_every_copy_of_short_items():
     assert len(found) == len(set(found)) and set(found) == expected
     whole = [(0, " ".join(draw.choices(vocabulary, k=90)))]
     assert Searcher(whole, 0, 0.98).search([as_bytes(around(30) + " " + whole[0][1])]) == [(0, 0, 90, 0)]
+
+
+def test_items_of_one_template_cost_little(monkeypatch):
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    text = lambda n: " ".join(draw.choice(words) for _ in range(n))
+    template = text(24)
+    items = [(i, f"{template} {text(10)}") for i in range(400)]
+    held = items[::40]
+    documents = [f"{text(50)} {template} {text(30)}" for _ in range(20)] + [f"{text(9)} {t} {text(9)}" for _, t in held]
+    looked, plain = [], decontaminate.least_edits
+    monkeypatch.setattr(decontaminate, "least_edits", lambda *a: looked.append(1) or plain(*a))
+    found = Searcher(items, 0.2, 0.98).search([as_bytes(d) for d in documents])
+    assert sorted((t, name) for t, name, _, _ in found) == [(20 + k, i) for k, (i, _) in enumerate(held)]
+    assert len(looked) < 5 * len(documents)  # of 400 candidates in each of them

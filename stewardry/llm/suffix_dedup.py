@@ -185,8 +185,8 @@ def runs_of(pieces: DataFrame, width: int) -> DataFrame:
     """Runs of repeated windows: small groups by suffix arrays, others by counting."""
     pieces = staged(pieces, "pieces")
     large = pieces.groupBy(F.col("grp").alias("_grp")).agg(F.sum(F.octet_length("piece")).alias("_bytes"))
-    # At most a row for every GROUP_BYTES of pieces.
-    large = F.broadcast(staged(large.where(F.col("_bytes") > GROUP_BYTES).select("_grp"), "large"))
+    # At most a row for every GROUP_BYTES of pieces; sent around if its size allows it.
+    large = staged(large.where(F.col("_bytes") > GROUP_BYTES).select("_grp"), "large")
     same = F.col("grp") == F.col("_grp")
     small = sorted_runs(pieces.join(large, same, "left_anti"), width)
     return small.unionByName(counted_runs(pieces.join(large, same, "left_semi"), width))

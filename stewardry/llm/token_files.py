@@ -29,18 +29,29 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stewardry.llm.pieces import PieceTable
 from stewardry.llm.staging import file_system, run_folder, staged
 from stewardry.llm.texts import mix
 
 MAGIC = b"IDX1"
 SHARD_BYTES = 256 << 20
 # Keys of one index file, about.
-BUCKET_KEYS = 4_000
+BUCKET_KEYS = 50_000
+# Ids that one task reads back, about.
+READ_IDS = 8 << 20
 # Bits per key of a level; more bits settle more keys at once.
 LOAD = 2
-# Pieces of text whose ids a task keeps, about 200 bytes each.
-MOST_KEPT = 800_000
-CUT = re.compile(r" (?=\S)")
+# Pieces of text whose ids a task keeps, about 40 bytes each.
+MOST_KEPT = 3_000_000
+# Texts encoded together; a longer one goes to the library whole.
+LONG_BYTES = 4 << 20
+SPACE = re.compile(r"\s")
+BLANK = 0x20
+# First bytes of characters that are no white space in any reading; a blank before
+# another one cuts nothing.
+STARTS_WORD = np.zeros(256, bool)
+STARTS_WORD[0x21:0x7F] = STARTS_WORD[0xC3:0xF8] = True
+STARTS_WORD[0xE1:0xE4] = False
 STEM = re.compile(r"([A-Za-z]+)([.,!?;:\n].*)", re.DOTALL)
 
 SLOT = np.dtype(
@@ -55,7 +66,7 @@ class Encoder:
     so does a stop after a letter, so the ids of a text are those of its pieces
     between such places. The library encodes a piece when it is met first; its
     ids are kept, up to a bounded number of pieces. New pieces go to the library
-    as one text, and the byte lengths of their ids tell where each ends.
+    as one text, where each begins with the token of its blank.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -66,55 +77,86 @@ class Encoder:
         size = max(max(names.values()), end_id) + 1
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
-        # A byte-level token has a character for each of its bytes.
-        self.lengths = np.zeros(size, np.int64)
+        # In a byte-level vocabulary this character stands for a blank.
+        self.begins = np.zeros(size, bool)
         for name, i in names.items():
-            self.lengths[i] = len(name)
-        # Ids of pieces, by the piece without the blank that stands before it.
-        self.kept: dict[str, bytes] = {}
+            self.begins[i] = name.startswith("\u0120")
+        self.table = PieceTable(self.kind, self._learn, MOST_KEPT)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [CUT.split(text) for text in texts]
-        firsts = [self._ids(e.ids) for e in self.library.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)]
-        kept = self.kept
-        new = {p for pieces in cut for p in pieces[1:] if p not in kept}
-        if len(kept) + len(new) > MOST_KEPT:
-            kept.clear()
-            new = {p for pieces in cut for p in pieces[1:]}
-        self._learn(new)
-        get = kept.__getitem__
-        return [b"".join([first, *map(get, pieces[1:]), self.end]) for first, pieces in zip(firsts, cut)]
-
-    def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        stems, tails, split = set(), set(), []
-        kept = self.kept
+        bodies = [text.encode("utf-8", "surrogatepass") for text in texts]
+        out: list[bytes] = [b""] * len(texts)
+        long = [i for i, body in enumerate(bodies) if len(body) > LONG_BYTES]
+        for i, ids in zip(long, self._whole([texts[i] for i in long])):
+            out[i] = ids + self.end
+        group, size = [], 0
+        for i, body in enumerate(bodies):
+            if len(body) <= LONG_BYTES:
+                group.append(i)
+                size += len(body)
+            if group and (size > LONG_BYTES or i == len(bodies) - 1):
+                for k, ids in zip(group, self._by_pieces([bodies[k] for k in group])):
+                    out[k] = ids + self.end
+                group, size = [], 0
+        return out
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _by_pieces(self, bodies: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        ends = np.cumsum([len(b) for b in bodies])
+        begins = np.append(0, ends[:-1])
+        cuts = (data == BLANK) & np.append(STARTS_WORD[data[1:]], False)[: len(data)]
+        cuts[ends[ends > begins] - 1] = False
+        cuts = np.flatnonzero(cuts)
+        # Pieces of each text, the one before its first cut apart: no blank precedes it.
+        low, high = np.searchsorted(cuts, begins), np.searchsorted(cuts, ends)
+        first_end = np.where(high > low, np.append(cuts, 0)[low], ends)
+        piece_ends = np.append(cuts[1:], 0)
+        piece_ends[high[high > low] - 1] = ends[high > low]
+        ids, counts = self.table.look_up(data, cuts + 1, piece_ends)
+        bounds = np.append(0, np.cumsum(counts))
+        heads = self._whole([data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(begins, first_end)])
+        return [head + ids[a:b].tobytes() for head, a, b in zip(heads, bounds[low].tolist(), bounds[high].tolist())]
+
+    def _learn(self, raw: list[bytes]) -> list[bytes]:
+        pieces = [r.decode("utf-8", "surrogatepass") for r in raw]
+        stems, odd, tails, split = set(), [], set(), []
         for piece in pieces:
+            if piece.isalpha():
+                stems.add(piece)
+                continue
             found = STEM.match(piece)
             if found:
                 stem, tail = found.groups()
                 split.append((piece, stem, tail))
                 tails.add(tail)
-            else:
-                stem = piece
-            if stem not in kept:
                 stems.add(stem)
-        stems = list(stems)
-        sizes = [len(s.encode("utf-8", "surrogatepass")) + 1 for s in stems]
-        ids = self.library.encode_batch_fast(["".join(" " + s for s in stems)], add_special_tokens=False)[0].ids
-        ids = np.array(ids, np.int64)
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1 if stems else []
-        packed, width, at = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
-        for stem, end in zip(stems, np.asarray(ends).tolist()):
-            kept[stem] = packed[at * width : end * width]
-            at = end
+            elif SPACE.search(piece):
+                odd.append(piece)
+            else:
+                stems.add(piece)
+        ids = self._words(list(stems))
+        ids.update(zip(odd, self._whole([" " + p for p in odd])))
         tails = list(tails)
-        found = self.library.encode_batch_fast(tails, add_special_tokens=False)
-        tail_ids = {t: self._ids(e.ids) for t, e in zip(tails, found)}
+        ends = dict(zip(tails, self._whole(tails)))
         for piece, stem, tail in split:
-            kept[piece] = kept[stem] + tail_ids[tail]
+            ids[piece] = ids[stem] + ends[tail]
+        return [ids[p] for p in pieces]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Pieces without white space go to the library as one text: only the blank
+        ahead of each begins a token with a blank."""
+        if not words:
+            return {}
+        (packed,) = self._whole([" " + " ".join(words)])
+        starts = np.flatnonzero(self.begins[np.frombuffer(packed, self.kind)])
+        if len(starts) != len(words):
+            raise ValueError("the vocabulary doesn't begin each word with its blank")
+        cuts = [*(starts * np.dtype(self.kind).itemsize).tolist(), len(packed)]
+        return {word: packed[a:b] for word, a, b in zip(words, cuts, cuts[1:])}
 
 
 @lru_cache(maxsize=2)
@@ -342,13 +384,15 @@ def look_up(keys: DataFrame, folder: str, files: DataFrame, shards: DataFrame, b
     return found.join(shards.select("shard", "file"), "shard").drop("shard")
 
 
-def read_ids(places: DataFrame, folder: str, kind: str) -> DataFrame:
+def read_ids(places: DataFrame, folder: str, kind: str, n_ids: int) -> DataFrame:
     """Add ``ids_crc32`` of the ids at each place, read from the shards.
 
-    Places are sorted by shard and offset, so a task reads forward; each read
-    takes one document's ids.
+    Places are dealt by stretches of the shards, ``n_ids`` in all, and sorted by
+    offset, so a task reads forward; each read takes one document's ids. The rows are
+    small and the work lies in the shards, so the number of tasks is given.
     """
-    rows = places.repartition("file").sortWithinPartitions("file", "offset")
+    stretch = F.floor(F.col("offset") / READ_IDS)
+    rows = places.repartition(-(-max(n_ids, 1) // READ_IDS) * 2, "file", stretch).sortWithinPartitions("file", "offset")
     key_type = rows.schema["key"].dataType.simpleString()
     width = np.dtype(kind).itemsize
 
@@ -393,4 +437,5 @@ def write_and_read(
     shards, files, buckets = build_index(manifest, folder)
     places = look_up(manifest.select("key", "turn"), folder, files, shards, buckets)
     kind = encoder(tokenizer, end_id).kind
-    return read_ids(places, folder, kind).withColumnRenamed("key", key)
+    n_ids = manifest.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    return read_ids(places, folder, kind, n_ids).withColumnRenamed("key", key)

@@ -1,6 +1,7 @@
 """Each operator against a plain version, on a small table of odd rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -274,8 +275,9 @@ def test_pieces_have_the_ids_of_the_whole_text(monkeypatch):
     own = token_files.Encoder(tokenizer_file(), 2)
     draw = random.Random(2)
     parts = ["a", "b", " ", "  ", "\n", ".", ",", "'s", "é", "<|endoftext|>", "\t", " \n", "\xa0", "\x1c", "漢", "1", "!", "Word", "😀", "\x85", "ll"]
-    for kept in (800_000, 50):
-        monkeypatch.setattr(token_files, "MOST_KEPT", kept)
+    for kept, long in ((800_000, 4 << 20), (50, 4 << 20), (50, 60)):
+        own.table.most, own.table.small = kept, kept // 4
+        monkeypatch.setattr(token_files, "LONG_BYTES", long)
         texts = ["".join(draw.choices(parts, k=draw.randint(0, 40))) for _ in range(600)]
         for text, ids in zip(texts, own.encode(texts)):
             assert np.frombuffer(ids, own.kind).tolist() == own.library.encode(text, add_special_tokens=False).ids + [2]
@@ -342,6 +344,31 @@ def test_chunks_leave_no_gap(monkeypatch):
     assert np.allclose(network.maxima(quality_cnn.symbols_of(text))[0].max(axis=0), whole, atol=1e-5)
 
 
+def plain_score(network, text):
+    """Chunk by chunk, place by place and filter by filter."""
+    symbols = list(text) + [quality_cnn.NO_BYTE] * max(0, quality_cnn.WIDTH - len(text))
+    n_places = len(symbols) - quality_cnn.WIDTH + 1
+    best, sums, chunks = [0.0] * quality_cnn.FILTERS, [0.0] * quality_cnn.FILTERS, 0
+    for start in range(0, n_places, quality_cnn.CHUNK):
+        chunks += 1
+        for f in range(quality_cnn.FILTERS):
+            top = -math.inf
+            for place in range(start, min(start + quality_cnn.CHUNK, n_places)):
+                window = [v for b in symbols[place : place + quality_cnn.WIDTH] for v in network.vectors[b].tolist()]
+                top = max(top, sum(a * b for a, b in zip(window, network.filters[:, f].tolist())))
+            active = max(0.0, top + float(network.shift[f]))
+            best[f], sums[f] = max(best[f], active), sums[f] + active
+    inputs = best + [s / chunks for s in sums]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(inputs, network.weights.tolist())) - float(network.bias[0])))
+
+
+def test_scores_are_those_of_plain_loops(monkeypatch):
+    monkeypatch.setattr(quality_cnn, "CHUNK", 16)
+    network = quality_cnn.train([np.frombuffer(b"good words here", np.uint8), np.frombuffer(b"#$%&|<>#$%&", np.uint8)], [1, 0], epochs=2)
+    for text in (b"", b"x", b"good words here", bytes(range(40)), "é漢 words $$".encode() * 2, b"a" * 33):
+        assert abs(network.score(np.frombuffer(text, np.uint8)) - plain_score(network, text)) < 1e-4
+
+
 def test_without_both_labels_scores_are_even(documents):
     assert quality_cnn.fit([(b"a", 1)], {1: 1}) is None
     assert {r.score for r in quality_cnn.score(documents, None).collect()} == {0.5}

@@ -11,6 +11,10 @@ from stewardry.llm.texts import U64, byte_values, mix, powers
 _SEED = 12
 
 
+class Collision(ValueError):
+    """Two pieces share a hash: the texts that hold them must be encoded whole."""
+
+
 class Known:
     """A sorted table of pieces: hash, a second mark, and where their ids lie."""
 
@@ -49,7 +53,7 @@ class PieceTable:
     """Ids of pieces, learned when they are met first.
 
     A piece is named by a 64-bit hash and marked by its length and first eight
-    bytes. New pieces gather in a small table that is merged into the large one; when
+    bytes, which tells pieces of one hash apart (:class:`Collision`). New pieces gather in a small table that is merged into the large one; when
     that holds ``most`` pieces, both start anew.
     """
 
@@ -74,7 +78,7 @@ class PieceTable:
         which[order] = np.cumsum(new) - 1
         one = order[new]  # a piece of every kind, by ascending key
         if (marks[one][which] != marks).any():
-            raise ValueError("two pieces share a hash")
+            raise Collision
         in_large, in_recent = self.large.find(keys[one], marks[one]), self.recent.find(keys[one], marks[one])
         absent = np.flatnonzero((in_large < 0) & (in_recent < 0))
         if len(self.large.keys) + len(self.recent.keys) + len(absent) > self.most:
@@ -92,6 +96,8 @@ class PieceTable:
                 self.large, self.recent = self.large.merged(self.recent), Known(self.kind)
             self.recent = self.recent.merged(fresh)
             in_large, in_recent = self.large.find(keys[one], marks[one]), self.recent.find(keys[one], marks[one])
+            if ((in_large < 0) & (in_recent < 0)).any():
+                raise Collision
         # The ids of every piece once, and from there for each of its places.
         count = np.zeros(len(one), np.int64)
         held = [(t, rows, *t.spans(at[rows])) for t, at in ((self.large, in_large), (self.recent, in_recent)) for rows in (np.flatnonzero(at >= 0),)]

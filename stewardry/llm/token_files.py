@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stewardry.llm.pieces import PieceTable
+from stewardry.llm.pieces import Collision, PieceTable
 from stewardry.llm.staging import file_system, run_folder, staged
 from stewardry.llm.texts import mix
 
@@ -116,7 +116,10 @@ class Encoder:
         first_end = np.where(high > low, np.append(cuts, 0)[low], ends)
         piece_ends = np.append(cuts[1:], 0)
         piece_ends[high[high > low] - 1] = ends[high > low]
-        ids, counts = self.table.look_up(data, cuts + 1, piece_ends)
+        try:
+            ids, counts = self.table.look_up(data, cuts + 1, piece_ends)
+        except Collision:
+            return self._whole([b.decode("utf-8", "surrogatepass") for b in bodies])
         bounds = np.append(0, np.cumsum(counts))
         heads = self._whole([data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(begins, first_end)])
         return [head + ids[a:b].tobytes() for head, a, b in zip(heads, bounds[low].tolist(), bounds[high].tolist())]

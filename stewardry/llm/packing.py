@@ -22,14 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stewardry.llm.pieces import Collision, PieceTable
 from stewardry.llm.staging import staged
 from stewardry.llm.token_files import groups
 
 CAPACITY = 2048
 # Pieces of one partition, about.
 PART_PIECES = 1 << 17
-# Words whose ids a task keeps, about 200 bytes each.
-MOST_KEPT = 800_000
+# Parts of texts whose ids a task keeps, about 40 bytes each.
+MOST_KEPT = 3_000_000
+# Texts encoded together; a longer one goes to the library whole.
+LONG_BYTES = 4 << 20
 # A word of plain Latin letters and what follows it up to the next blank.
 STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~0-9].*)?", re.DOTALL)
 
@@ -50,29 +53,52 @@ class WordEncoder:
         names = self.library.get_vocab(with_added_tokens=True)
         size = max(max(names.values()), end_id) + 1
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.end = np.array([end_id], self.kind).tobytes()
+        self.end = np.array([end_id], self.kind)
         self.ends_word = np.zeros(size, bool)
         for name, i in names.items():
             self.ends_word[i] = name.endswith("</w>")
-        self.kept: dict[str, bytes] = {"": b""}
+        self.table = PieceTable(self.kind, self._learn, MOST_KEPT)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        met: set[str] = set()
-        for parts in cut:
-            met.update(parts)
-        kept = self.kept
-        new = [p for p in met if p not in kept]
-        if len(kept) + len(new) > MOST_KEPT:
-            kept.clear()
-            kept[""] = b""
-            new = list(met)
-        self._learn(new)
-        get = kept.__getitem__
-        return [np.frombuffer(b"".join([*map(get, parts), self.end]), self.kind) for parts in cut]
-
-    def _learn(self, parts: list[str]) -> None:
-        kept, stems, others, split = self.kept, set(), set(), []
+        bodies = [text.encode("utf-8", "surrogatepass") for text in texts]
+        out: list[np.ndarray] = [self.end] * len(texts)
+        group, size = [], 0
+        for i, body in enumerate(bodies):
+            if len(body) > LONG_BYTES:
+                (ids,) = self._whole([texts[i]])
+                out[i] = np.append(np.frombuffer(ids, self.kind), self.end)
+            else:
+                group.append(i)
+                size += len(body)
+            if group and (size > LONG_BYTES or i == len(bodies) - 1):
+                for k, ids in zip(group, self._by_parts([bodies[k] for k in group])):
+                    out[k] = np.append(ids, self.end)
+                group, size = [], 0
+        return out
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _by_parts(self, bodies: list[bytes]) -> list[np.ndarray]:
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        ends = np.cumsum([len(b) for b in bodies])
+        begins = np.append(0, ends[:-1])
+        cuts = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        # Parts follow each other, so their sorted starts and ends go together.
+        starts, stops = np.sort(np.append(begins, cuts + 1)), np.sort(np.append(cuts, ends))
+        try:
+            ids, counts = self.table.look_up(data, starts, stops)
+        except Collision:
+            found = self._whole([b.decode("utf-8", "surrogatepass") for b in bodies])
+            return [np.frombuffer(f, self.kind) for f in found]
+        parts = np.cumsum(np.searchsorted(cuts, ends) - np.searchsorted(cuts, begins) + 1)
+        bounds = np.append(0, np.cumsum(counts))[np.append(0, parts)]
+        return [ids[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+
+    def _learn(self, raw: list[bytes]) -> list[bytes]:
+        parts = [r.decode("utf-8", "surrogatepass") for r in raw]
+        stems, others, split = set(), {""}, []
         for part in parts:
             found = STEM.fullmatch(part)
             if found is None:
@@ -80,29 +106,23 @@ class WordEncoder:
                 continue
             stem, tail = found[1].lower(), found[2] or ""
             split.append((part, stem, tail))
-            if stem not in kept:
-                stems.add(stem)
-            if tail not in kept:
-                others.add(tail)
-        self._learn_words(list(stems))
-        rest = [p for p in others if p not in kept]
-        for part, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-            kept[part] = np.array(found.ids, self.kind).tobytes()
-        for part, stem, tail in split:
-            kept[part] = kept[stem] + kept[tail]
-
-    def _learn_words(self, stems: list[str]) -> None:
+            stems.add(stem)
+            others.add(tail)
+        rest = list(others)
+        words, ids = self._words(list(stems)), dict(zip(rest, self._whole(rest)))
+        whole = {part: words[stem] + ids[tail] for part, stem, tail in split}
+        return [whole[p] if p in whole else ids[p] for p in parts]
+
+    def _words(self, stems: list[str]) -> dict[str, bytes]:
         """Words of letters alone go to the library as one text; each has one word end."""
         if not stems:
-            return
-        ids = np.array(self.library.encode(" ".join(stems), add_special_tokens=False).ids, np.int64)
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
+            return {}
+        (packed,) = self._whole([" ".join(stems)])
+        ends = np.flatnonzero(self.ends_word[np.frombuffer(packed, self.kind)]) + 1
         if len(ends) != len(stems):
             raise ValueError("the vocabulary doesn't end each word of letters once")
-        packed, width, at = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
-        for stem, end in zip(stems, (ends * width).tolist()):
-            self.kept[stem] = packed[at:end]
-            at = end
+        cuts = [0, *(ends * np.dtype(self.kind).itemsize).tolist()]
+        return {stem: packed[a:b] for stem, a, b in zip(stems, cuts, cuts[1:])}
 
 
 @lru_cache(maxsize=2)

@@ -9,6 +9,7 @@ import pytest
 from stewardry.llm import packing
 from stewardry.llm.queries import tokenizer_file
 from stewardry.llm.staging import prepare
+from stewardry.llm.texts import mix as texts_mix
 
 ODD = [
     "İstanbul it's IT'S don't <|startoftext|>x <|ENDOFTEXT|> a<|endoftext|>b 12a3b \x1c\x1d q\x0bw \t\r\n",
@@ -29,8 +30,24 @@ def test_encoder_gives_the_ids_of_the_library(rows, monkeypatch):
     expected = [e.ids + [0] for e in library().encode_batch(texts, add_special_tokens=False)]
     own = packing.WordEncoder(tokenizer_file("word_bpe_49k.json"), 0)
     assert [ids.tolist() for ids in own.encode(texts)] == expected
-    monkeypatch.setattr(packing, "MOST_KEPT", 20)
+    own.table.most, own.table.small = 50, 10
     assert [own.encode([t])[0].tolist() for t in texts] == expected
+    monkeypatch.setattr(packing, "LONG_BYTES", 300)
+    assert [ids.tolist() for ids in own.encode(texts)] == expected
+
+
+def test_pieces_of_one_hash_are_encoded_whole(rows, monkeypatch):
+    from stewardry.llm import pieces, token_files
+
+    texts = [t or "" for _, t in rows] + ODD
+    monkeypatch.setattr(pieces, "mix", lambda x, seed: x % np.uint64(97) if seed == 12 else texts_mix(x, seed))
+    expected = [e.ids + [0] for e in library().encode_batch(texts, add_special_tokens=False)]
+    own = packing.WordEncoder(tokenizer_file("word_bpe_49k.json"), 0)
+    assert [ids.tolist() for k in range(len(texts)) for ids in own.encode(texts[k : k + 1])] == expected
+    other = token_files.Encoder(tokenizer_file(), 2)
+    for text in texts:
+        ids = np.frombuffer(other.encode([text])[0], other.kind).tolist()
+        assert ids == other.library.encode(text, add_special_tokens=False).ids + [2]
 
 
 def best_fit_one_by_one(lengths, capacity):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from stewardry.operators.lookup import already_in, not_in, resolve, resolve_owners
+from stewardry.operators.lookup import already_in, first_match, not_in, resolve, resolve_owners
 
 
 def test_first_row_wins_and_no_row_is_lost(spark):
@@ -56,3 +56,10 @@ def test_a_hot_key_resolves_like_any_other(spark):
         assert (out.count(), wrong) == (30_000, 0)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_first_row_number_of_a_key_needs_no_sort(spark):
+    rows = spark.createDataFrame([(3, "a"), (1, "a"), (None, "b"), (2, None)], "_row long, k string")
+    first = first_match(rows, [F.col("k").alias("key")], {"_row": "first"})
+    assert {(r.key, r.first) for r in first.collect()} == {("a", 1), ("b", None)}
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()

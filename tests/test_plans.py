@@ -313,3 +313,29 @@ def test_forest_of_catalog_and_load(spark, catalog):
     by_name = {r.name: r for r in found}
     assert by_name["newer"].parent_id == by_name["new"].id and by_name["newer"].root_id == "t1"
     assert by_name["stray"].parent_id is None
+
+
+def test_column_ids_need_no_more_than_names(spark):
+    planned = frame(spark, "id domain fqn column_name action", [("e1", "d1", "f1", "COL", "create"), ("e2", "d1", "f1", "col", "update"), ("e3", "d1", "f1", "col", "failed")])
+    known = "fqn string, asset_id string, asset_name string, schema array<struct<name string{}>>"
+    whole = spark.createDataFrame(
+        [("f1", "a", "A", [("Col", "d", ["P"], "int"), ("COL", "d", [], "text")])], known.format(", description string, classifications array<string>, type string")
+    )
+    names = spark.createDataFrame([("f1", "a", "A", [("Col",), ("COL",)])], known.format(""))
+    ids = cdes.cde_columns(planned, names, record=False)
+    assert ids.columns == ["cde_id", "column_id", "asset_id", "column_name"]
+    assert sorted(ids.collect()) == sorted(cdes.cde_columns(planned, whole).drop("record").collect()) and ids.count() == 2
+
+
+def test_owner_outcomes_are_counted_without_lists(spark):
+    plan = spark.createDataFrame(
+        [("a", "created", None, ["x@x", "y@x"]), ("b", "failed", "E", []), ("c", "created", None, None)],
+        "name string, outcome string, error string, unknown array<string>",
+    )
+    out = outcomes.outcomes_and_owners(plan, "okr", "name", "unknown")
+    assert sorted([tuple(r) for r in out.collect()], key=str) == [
+        ("okr", "a", "created", None), ("okr", "b", "failed", "E"),
+        ("okr_owner", "a", "failed", outcomes.BAD_USER), ("okr_owner", "a", "failed", outcomes.BAD_USER),
+    ]
+    text = outcomes.report(out)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in text and "struct" not in text
